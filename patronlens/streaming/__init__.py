@@ -1,0 +1 @@
+"""Intentionally empty: every job in this package is a batch job over bounded tables."""
