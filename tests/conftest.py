@@ -13,8 +13,9 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    spark = session("8", "patronlens-tests")
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("checkpoint"))
+    spark = session("8", "patronlens-tests", spark__checkpoint__dir=folder)
     yield spark
     spark.stop()
 
