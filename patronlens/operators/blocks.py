@@ -13,8 +13,6 @@ owns a large part of the log is spread too; in step 2 each task sends at most on
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +51,12 @@ def facts(log: DataFrame, key: list[str], dims: list[str], config: FeatureConfig
 
 def values_with(dim: str, action: str = "n") -> Column:
     """Number of distinct non-null values of ``dim`` with at least one such action."""
-    return F.count_if(F.col(f"of_{dim}") & F.col(dim).isNotNull() & (F.col(action) > 0))
+    return F.expr(f"count_if(of_{dim} AND {dim} IS NOT NULL AND {action} > 0)")
 
 
-def total(dim: str, action: str, *tests: Column) -> Column:
+def total(dim: str, action: str, test: str = "true") -> Column:
     """Weighted number of actions, read from the facts of one dimension."""
-    test = reduce(lambda a, b: a & b, tests, F.col(f"of_{dim}"))
-    return F.coalesce(F.sum(F.when(test, F.col(action))), F.lit(0))
+    return F.expr(f"coalesce(sum({action}) FILTER (WHERE of_{dim} AND {test}), 0)")
 
 
 def pair_rollup(log: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -116,12 +113,10 @@ def basic_pair_block(log: DataFrame, config: FeatureConfig = FeatureConfig()) ->
 def _month_counts(config: FeatureConfig) -> list[Column]:
     """Counts per month over day facts that carry their ``month``."""
     counts = [
-        total("day", a, F.col("month") == m).alias(f"{name}_{a}_cnt")
+        total("day", a, f"month = {m}").alias(f"{name}_{a}_cnt")
         for m, name in config.month_names() for a in ACTIONS
     ]
-    return counts + [
-        total("day", "n", F.col("month") == m).alias(f"{name}_tt") for m, name in config.month_names()
-    ]
+    return counts + [total("day", "n", f"month = {m}").alias(f"{name}_tt") for m, name in config.month_names()]
 
 
 def _gated_months(config: FeatureConfig) -> list[Column]:
@@ -129,9 +124,7 @@ def _gated_months(config: FeatureConfig) -> list[Column]:
     if config.corrected:
         return [F.col(c) for c in config.month_columns()]
     first = f"{config.month_names()[0][1]}_c_cnt"
-    return [
-        F.when(F.col(first) > 0, F.col(c)).otherwise(F.lit(0)).alias(c) for c in config.month_columns()
-    ]
+    return [F.expr(f"if({first} > 0, {c}, 0) AS {c}") for c in config.month_columns()]
 
 
 def month_block(log: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:

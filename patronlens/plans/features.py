@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.config import PAIR_KEY, UNKNOWN_AGE, UNKNOWN_GENDER, FeatureConfig
@@ -11,7 +11,7 @@ from patronlens.operators.blocks import basic_pair_block, pair_block, seller_blo
 from patronlens.operators.fanout import fan_out
 from patronlens.operators.labelled import join_log_labels, label_pairs, with_day
 from patronlens.operators.relational import attach_left
-from patronlens.plans.tables import staged
+from patronlens.plans.tables import staged, staged_together
 
 
 def labelled_log(log: DataFrame, labels: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
@@ -19,6 +19,10 @@ def labelled_log(log: DataFrame, labels: DataFrame, config: FeatureConfig = Feat
     return join_log_labels(with_day(log, config), label_pairs(labels))
 
 
+def _doubles(config: FeatureConfig) -> list[Column]:
+    return [F.expr(f"CAST({c} AS DOUBLE) AS {c}") for c in config.full_columns()]
+
+
 def _assemble(
     log: DataFrame, labels: DataFrame, info: DataFrame, config: FeatureConfig, pair_features
 ) -> DataFrame:
@@ -33,8 +37,10 @@ def _assemble(
     dated = with_day(log, config)
     labelled = staged(join_log_labels(dated, pairs), "labelled_log")
     seen = labelled if config.restrict_to_labels else dated
-    users = staged(user_block(seen, config).join(fill_profile(info), "user_id", "left"), "users")
-    sellers = staged(seller_block(seen, config), "sellers")
+    users, sellers = staged_together({
+        "users": user_block(seen, config).join(fill_profile(info), "user_id", "left"),
+        "sellers": seller_block(seen, config),
+    })
     rows = pair_features(labelled, config).join(pairs, PAIR_KEY, "inner")
     return attach_left(rows, users, sellers)
 
@@ -58,7 +64,7 @@ def full_features(
     missing_gender = UNKNOWN_GENDER if config.corrected else UNKNOWN_AGE
     filled = wide.na.fill(0).na.fill({"age_range": UNKNOWN_AGE, "gender": missing_gender})
     weight = (F.col("label_rows") * F.col("copies")).alias("weight")
-    table = filled.select(*[F.col(c).cast("double").alias(c) for c in config.full_columns()], weight)
+    table = filled.select(*_doubles(config), weight)
     return table if repeats == "weight" else fan_out(table, "weight")
 
 
@@ -75,4 +81,4 @@ def basic_features(
 
 def typed(features: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Any wide table as doubles in the fixed order."""
-    return features.select(*[F.col(c).cast("double").alias(c) for c in config.full_columns()])
+    return features.select(*_doubles(config))
