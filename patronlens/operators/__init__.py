@@ -13,7 +13,7 @@ from patronlens.operators.relational import (
     register_views,
     share_of_total,
 )
-from patronlens.operators.split import keyed_split, with_fold
+from patronlens.operators.split import keyed_split, random_split, with_fold
 
 __all__ = [
     "attach_left",
@@ -25,6 +25,7 @@ __all__ = [
     "label_pairs",
     "month_block",
     "pair_block",
+    "random_split",
     "register_views",
     "seller_block",
     "share_of_total",

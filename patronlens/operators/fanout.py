@@ -16,8 +16,8 @@ def fan_out(df: DataFrame, copies: str) -> DataFrame:
     array, and no shuffle is involved.
     """
     n = F.col(copies)
-    chunks = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _CHUNK))
-    within = F.sequence(F.lit(1).cast("long"), F.least(F.lit(_CHUNK).cast("long"), n - F.col("_chunk") * _CHUNK))
+    chunks = F.expr(f"sequence(0L, ({copies} - 1) div {_CHUNK})")
+    within = F.expr(f"sequence(1, CAST(least({_CHUNK}L, {copies} - _chunk * {_CHUNK}) AS INT))")
     return (
         df.filter(n > 0)
         .withColumn("_chunk", F.explode(chunks))

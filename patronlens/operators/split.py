@@ -33,3 +33,15 @@ def keyed_split(
 def with_fold(df: DataFrame, folds: int, seed: int = SPLIT_SEED, name: str = "fold") -> DataFrame:
     """Add a fold number 0..folds-1 that keeps all rows of a pair in one fold."""
     return df.withColumn(name, (pair_hash(seed + 1) % folds).cast("int"))
+
+
+def random_split(
+    df: DataFrame, percent: int = TRAIN_PERCENT, seed: int = SPLIT_SEED
+) -> tuple[DataFrame, DataFrame]:
+    """The row-wise random split into (train, test).
+
+    It follows the rows' places: another partitioning gives other sides, and repeated rows of
+    a pair may fall on both. Prefer ``keyed_split``.
+    """
+    train, test = df.randomSplit([percent / 100, 1 - percent / 100], seed)
+    return train, test

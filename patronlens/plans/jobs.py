@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,7 +13,7 @@ from patronlens.config import PAIR_KEY, FeatureConfig
 from patronlens.operators.split import keyed_split
 from patronlens.plans import evaluation, training
 from patronlens.plans.features import basic_features, full_features
-from patronlens.plans.tables import staged
+from patronlens.plans.tables import staged, temporary_tables
 from patronlens.sources import (
     read_labels,
     read_user_info,
@@ -36,13 +37,23 @@ def run_feature_job(
 ) -> None:
     """Read the three inputs, build the 'full' or the 'basic' table and write it."""
     build = {"full": full_features, "basic": basic_features}[table]
-    features = build(
-        read_user_log(spark, log_path, in_format),
-        read_labels(spark, label_path, in_format),
-        read_user_info(spark, info_path, in_format),
-        config,
-    )
-    write_features(features, out_path, out_format)
+    with temporary_tables(spark):
+        features = build(
+            read_user_log(spark, log_path, in_format),
+            read_labels(spark, label_path, in_format),
+            read_user_info(spark, info_path, in_format),
+            config,
+        )
+        write_features(features, out_path, out_format)
+
+
+def log_of_pairs(log: DataFrame, lists: Sequence[DataFrame]) -> DataFrame:
+    """The part of the log that any of the pair lists asks for, staged.
+
+    Building features for several lists then shuffles the whole log once, not once per list.
+    """
+    asked = _union([pairs.select(*PAIR_KEY) for pairs in lists]).distinct()
+    return staged(log.join(staged(asked, "asked_pairs"), PAIR_KEY, "left_semi"), "asked_log")
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -66,34 +77,41 @@ def run_training_job(
 ) -> None:
     """Train each model on the labelled pairs, report on both sides of the split, score the rest.
 
-    Writes ``report`` (JSON), ``curves`` (Parquet) and ``predictions`` (Parquet per model)
-    under ``out_path``. Feature rows are kept once with their weight and staged, because
-    every fit and every report reads them again.
+    Writes ``report`` and ``search`` (JSON), ``curves`` and, per model, ``predictions``
+    (Parquet) under ``out_path``. Feature rows are kept once with their weight and staged,
+    because every fit and every report reads them again.
     """
     log = read_user_log(spark, log_path, in_format)
     info = read_user_info(spark, info_path, in_format)
+    lists = {"train": read_labels(spark, train_path, in_format), "test": read_labels(spark, test_path, in_format)}
+    columns = columns if columns is not None else training.input_columns(config)
 
-    def features_of(label_path: str, name: str) -> DataFrame:
-        labels = read_labels(spark, label_path, in_format)
-        table = full_features(log, labels, info, config, repeats="weight")
-        return staged(keyed_split(table), name)
+    with temporary_tables(spark):
+        if config.restrict_to_labels:
+            log = log_of_pairs(log, list(lists.values()))
+        known, asked = (
+            staged(keyed_split(full_features(log, labels, info, config, repeats="weight")), f"{name}_rows")
+            for name, labels in lists.items()
+        )
+        sides = {side: known.filter(F.col("split") == side) for side in ("train", "test")}
 
-    known, asked = features_of(train_path, "train_rows"), features_of(test_path, "test_rows")
-    sides = {side: known.filter(F.col("split") == side) for side in ("train", "test")}
-    columns = columns if columns is not None else training.input_columns(config)
+        reports, curves, predictions, searches = [], [], [], []
+        for name in models:
+            model = training.train(
+                sides["train"], name, grids[name], folds, columns, parallelism, weight="weight"
+            )
+            searches += [(name, json.dumps(point), point["area_under_roc"], point["chosen"]) for point in training.search_points(model)]
+            for side, rows in sides.items():
+                scored = staged(training.score(model, rows, [*PAIR_KEY, "label"]), f"scored_{name}_{side}")
+                reports.append(evaluation.report(scored, name, side, score="probability"))
+                curve = evaluation.threshold_curve(scored, "probability")
+                curves.append(curve.select(F.lit(name).alias("model"), F.lit(side).alias("split"), "*"))
+            predictions.append(training.score(model, asked).select(F.lit(name).alias("model"), "*"))
 
-    reports, curves, predictions = [], [], []
-    for name in models:
-        model = training.train(
-            sides["train"], name, grids[name], folds, columns, parallelism, weight="weight"
+        write_report(_union(reports), f"{out_path}/report")
+        write_report(
+            spark.createDataFrame(searches, "model string, point string, area_under_roc double, chosen boolean"),
+            f"{out_path}/search",
         )
-        for side, rows in sides.items():
-            scored = staged(training.score(model, rows, [*PAIR_KEY, "label"]), f"scored_{name}_{side}")
-            reports.append(evaluation.report(scored, name, side, score="probability"))
-            curve = evaluation.threshold_curve(scored, "probability")
-            curves.append(curve.select(F.lit(name).alias("model"), F.lit(side).alias("split"), "*"))
-        predictions.append(training.score(model, asked).select(F.lit(name).alias("model"), "*"))
-
-    write_report(_union(reports), f"{out_path}/report")
-    _union(curves).write.mode("overwrite").parquet(f"{out_path}/curves")
-    write_predictions(_union(predictions), f"{out_path}/predictions")
+        _union(curves).write.mode("overwrite").parquet(f"{out_path}/curves")
+        write_predictions(_union(predictions), f"{out_path}/predictions")

@@ -5,13 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_run: ContextVar[str] = ContextVar("run", default="")
+
 
 @cache
 def _local_folder() -> str:
@@ -31,7 +36,7 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
 def table_path(spark: SparkSession, name: str) -> str | None:
     """A fresh path for a table, or None without a shared folder."""
     folder = checkpoint_folder(spark)
-    return None if folder is None else f"{folder.rstrip('/')}/patronlens/{name}-{uuid.uuid4().hex}"
+    return None if folder is None else f"{folder.rstrip('/')}/patronlens/{_run.get()}{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -54,4 +59,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def staged_together(frames: dict[str, DataFrame]) -> list[DataFrame]:
     """Stage independent frames at the same time: each fills the executors the others leave idle."""
     with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(staged, frames.values(), frames.keys()))
+        writes = [pool.submit(copy_context().run, staged, df, name) for name, df in frames.items()]
+        return [write.result() for write in writes]
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables staged inside the block when it ends.
+
+    For jobs that write their results before they return; a DataFrame that still reads a
+    staged table must not leave the block unread.
+    """
+    token = _run.set(f"run-{uuid.uuid4().hex}/")
+    folder = checkpoint_folder(spark)
+    try:
+        yield
+    finally:
+        if folder is not None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/patronlens/{_run.get()}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _run.reset(token)

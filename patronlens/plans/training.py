@@ -134,7 +134,7 @@ def train(
 def search_points(trained: Trained) -> list[dict]:
     """The grid points with their average area under ROC; the chosen one is marked."""
     search = trained.search
-    scores = search.avgMetrics
+    scores = [float(score) for score in search.avgMetrics]
     best = max(range(len(scores)), key=scores.__getitem__)
     return [
         {**{p.name: v for p, v in point.items()}, "area_under_roc": s, "chosen": i == best}

@@ -1,3 +1,4 @@
+import os
 import warnings
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from patronlens import FeatureConfig
 from patronlens.operators import register_views
 from patronlens.plans import full_features, tables
+from patronlens.plans.sizing import session_settings
 from patronlens.sources import (
     read_features,
     read_labels,
@@ -107,3 +109,20 @@ def test_no_shared_folder_on_a_cluster_means_no_table(spark, monkeypatch):
         warnings.simplefilter("always")
         assert tables.staged(df, "numbers") is df
     assert "recomputed" in str(caught[0].message)
+
+
+def test_temporary_tables_are_dropped(spark):
+    with tables.temporary_tables(spark):
+        first, second = tables.staged_together({"a": spark.range(3), "b": spark.range(4)})
+        kept = first.inputFiles() + second.inputFiles()
+        assert (first.count(), second.count()) == (3, 4)
+        assert all("/patronlens/run-" in path and os.path.exists(path.removeprefix("file://")) for path in kept)
+    assert not any(os.path.exists(path.removeprefix("file://")) for path in kept)
+    outside = tables.staged(spark.range(2), "c")
+    assert "/run-" not in outside.inputFiles()[0] and outside.count() == 2
+
+
+def test_settings_grow_with_the_log():
+    small, large = session_settings(10**6), session_settings(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(large["spark.sql.shuffle.partitions"]) > 100_000

@@ -99,3 +99,20 @@ def test_feature_job_writes_both_tables(spark, tmp_path):
         jobs.run_feature_job(spark, paths["log"], paths["info"], paths["labels"], out, table=table)
         back = spark.read.csv(out)
         assert (len(back.columns), back.count()) == (columns, rows)
+
+
+def test_random_split_covers_all_rows(rows):
+    from patronlens.operators import random_split
+
+    train, test = random_split(rows)
+    assert train.count() + test.count() == rows.count()
+    assert 0.7 < train.count() / rows.count() < 0.9
+
+
+def test_shared_log_changes_no_features(spark):
+    log, labels, info = inputs(spark, SMALL, "events")
+    parts = [labels.filter("user_id % 2 = 0"), labels.filter("user_id % 2 = 1")]
+    shared = jobs.log_of_pairs(log, parts)
+    for part in parts:
+        want, got = full_features(log, part, info), full_features(shared, part, info)
+        assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
