@@ -16,7 +16,7 @@ from patronlens.operators.relational import attach_left, full_outer_chain, share
 from patronlens.operators.split import keyed_split
 from patronlens.plans import evaluation, training
 from patronlens.plans.features import basic_features, full_features, labelled_log
-from patronlens.plans.tables import staged, table_path
+from patronlens.plans.tables import staged, staged_together, table_path
 from patronlens.sources import read_features, write_features
 from patronlens.sources.adapters import inputs, load
 
@@ -78,10 +78,7 @@ def join_log_labels_query(spark, sf_dir):
 
 
 def purchase_history(spark, sf_dir):
-    bought = _log(spark, sf_dir).filter(F.col("action_type") == CONFIG.purchase)
-    return _day_text(
-        bought.select("user_id", "seller_id", "item_id", "cat_id", "brand_id", "day").orderBy("user_id", "day")
-    )
+    return _day_text(blocks.purchase_history(_log(spark, sf_dir)))
 
 
 def on_log(build: Callable[[DataFrame], DataFrame], shape: str = "star") -> Query:
@@ -106,12 +103,12 @@ def join_left_attach(spark, sf_dir):
     log, labels, info = inputs(spark, sf_dir)
     labelled = staged(labelled_log(log, labels, CONFIG), "labelled_log")
     actions = F.sum("label_rows")
-    return attach_left(
-        labelled.groupBy(*PAIR_KEY).agg(actions.alias("pair_actions")),
-        labelled.groupBy("user_id").agg(actions.alias("user_actions")),
-        labelled.groupBy("seller_id").agg(actions.alias("seller_actions")),
-        fill_profile(info),
-    )
+    users, sellers = staged_together({
+        "users": labelled.groupBy("user_id").agg(actions.alias("user_actions")),
+        "sellers": labelled.groupBy("seller_id").agg(actions.alias("seller_actions")),
+    })
+    pairs = labelled.groupBy(*PAIR_KEY).agg(actions.alias("pair_actions"))
+    return attach_left(pairs, users, sellers, fill_profile(info))
 
 
 def join_implicit_inner(spark, sf_dir):
@@ -228,7 +225,7 @@ def score_pairs(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     distinct = {"items": ("item_id", "dis"), "sellers": ("seller_id", "mer"), "cats": ("cat_id", "cat"), "brands": ("brand_id", "brand")}
-    bought = F.col("action_type") == CONFIG.purchase
+    bought = f"action_type = {CONFIG.purchase}"
     registered: dict[str, Query] = {
         "scan_user_log": scan_user_log,
         "scan_labels": scan_labels,

@@ -255,3 +255,13 @@ def fanout_ratio(log: DataFrame, config: FeatureConfig = FeatureConfig()) -> Dat
     share = F.when(F.col("purchased") > 0, ratio(F.lit(1), F.col("sellers"))).otherwise(F.lit(0.0))
     copies = F.greatest(F.col("purchased"), F.lit(1))
     return fan_out(per_user.select("user_id", share.alias("u_p_m_ratio"), copies.alias("copies")), "copies")
+
+
+def purchase_history(log: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """Purchases in order of user and day.
+
+    The rest of the row breaks ties, so that the sort can cut a busy user or day into several
+    ranges.
+    """
+    columns = ["user_id", "day", "seller_id", "item_id", "cat_id", "brand_id"]
+    return log.filter(F.col("action_type") == config.purchase).select(*columns).orderBy(*columns)

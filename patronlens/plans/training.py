@@ -88,7 +88,8 @@ def cross_validator(
     if weight is not None:
         settings["weightCol"] = weight
     if name != "lr":
-        settings["seed"] = seed
+        # More tree nodes per pass over the data; the model stays the same.
+        settings |= {"seed": seed, "maxMemoryInMB": 1024}
     classifier = CLASSIFIERS[name](**settings)
     builder = ParamGridBuilder()
     for param, values in (GRIDS[name] if grid is None else grid).items():

@@ -32,3 +32,13 @@ def test_entry_has_the_wide_schema(spark):
     assert df.columns == FeatureConfig().full_columns()
     assert {kind for _, kind in df.dtypes} == {"double"}
     assert df.count() == 4330
+
+
+def test_registering_needs_no_session():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = "import __spark_entry__ as c; assert len(c.queries()) == 53 and len(c.oracle_sql()) == 48"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
