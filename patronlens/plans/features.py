@@ -19,6 +19,11 @@ def labelled_log(log: DataFrame, labels: DataFrame, config: FeatureConfig = Feat
     return join_log_labels(with_day(log, config), label_pairs(labels))
 
 
+def by_user(labelled: DataFrame) -> DataFrame:
+    """Even partitions, each holding whole users where they fit."""
+    return labelled.hint("rebalance", "user_id")
+
+
 def _doubles(config: FeatureConfig) -> list[Column]:
     return [F.expr(f"CAST({c} AS DOUBLE) AS {c}") for c in config.full_columns()]
 
@@ -28,14 +33,18 @@ def _assemble(
 ) -> DataFrame:
     """All blocks joined: one row per (pair, label), ``label_rows`` and ``copies`` as numbers.
 
-    Stages: the label pairs; the labelled log, which five grouped sets then read column by
+    Stages: the label pairs; the labelled log, which the three blocks then read column by
     column; the user and seller blocks, small next to the pairs. With the blocks staged, each
     join of the pairs has a plain shuffle on both sides, which adaptive execution can turn
     into a broadcast (small side) or split (a seller or user owning many pairs).
+
+    The labelled log is rebalanced before it is written: a broadcast label join would leave a
+    sliver of a file per task of the whole log. By user, because most facts are then complete
+    before their shuffle; a user too large for one file is cut by adaptive execution.
     """
     pairs = staged(label_pairs(labels), "label_pairs")
     dated = with_day(log, config)
-    labelled = staged(join_log_labels(dated, pairs), "labelled_log")
+    labelled = staged(by_user(join_log_labels(dated, pairs)), "labelled_log")
     seen = labelled if config.restrict_to_labels else dated
     users, sellers = staged_together({
         "users": user_block(seen, config).join(fill_profile(info), "user_id", "left"),

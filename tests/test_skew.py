@@ -8,6 +8,7 @@ from patronlens.operators import blocks, fan_out
 from patronlens.operators.labelled import join_log_labels, label_pairs, with_day
 from patronlens.operators.relational import attach_left
 from patronlens.plans import full_features
+from patronlens.plans.features import by_user
 from patronlens.plans.tables import staged
 
 # Thresholds scaled down to the size of the test data; the join strategy is the large-scale one.
@@ -54,9 +55,10 @@ def labels(log):
 def test_hot_pair_is_split_in_the_label_join(log, labels, conf):
     conf(SHRUNK)
     pairs = staged(label_pairs(labels), "pairs")
-    joined = join_log_labels(with_day(log), pairs)
-    plan = final_plan(joined)
+    joined = by_user(join_log_labels(with_day(log), pairs))
+    plan = final_plan(joined).split("Initial Plan")[0]
     assert "SortMergeJoin" in plan and "skew=true" in plan
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "AQEShuffleRead skewed" in plan.split("SortMergeJoin")[0]
     assert joined.count() == log.count()
 
 
