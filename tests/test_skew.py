@@ -123,3 +123,17 @@ def test_fan_out_counts(spark, copies):
     df = spark.createDataFrame([(1, copies), (2, None), (3, 2)], "k long, n long")
     got = {r.k: r["count"] for r in fan_out(df, "n").groupBy("k").count().collect()}
     assert got == {k: v for k, v in {1: copies, 3: 2}.items() if v}
+
+
+def test_blocks_read_only_their_columns(log, labels):
+    labelled = staged(join_log_labels(with_day(log), label_pairs(labels)), "labelled_log")
+    unread = {
+        blocks.pair_block: {"cat_id", "brand_id"},
+        blocks.seller_block: {"day"},
+        blocks.month_block: {"item_id", "cat_id", "brand_id", "seller_id"},
+    }
+    for block, columns in unread.items():
+        plan = block(labelled)._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+        read = {name.split("#")[0] for name in scan[scan.index("[") + 1 : scan.index("]")].split(",")}
+        assert read == set(labelled.columns) - columns, block.__name__
