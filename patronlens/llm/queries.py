@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import mixing, sharding, warc
-from patronlens.llm.common import table
+from patronlens.llm import langid, mixing, sharding, toxicity, warc
+from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
 
@@ -20,6 +20,14 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    trees = langid.fit(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(rows, trees, ["doc_id", "held_out"])
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), path, min_bytes=0)
@@ -36,10 +44,21 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(docs, docs.join(labels, "doc_id"))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return toxicity.predict(rows, model, ["doc_id", "held_out"])
+
+
 QUERIES = {
     "op3_mix": op3_mix,
+    "op4_language": op4_language,
     "op6_warc": op6_warc,
     "op7_shard": op7_shard,
+    "op9_toxicity": op9_toxicity,
 }
 
 
