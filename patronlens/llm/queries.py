@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import langid, mixing, sharding, toxicity, warc
+from patronlens.llm import bpe, langid, mixing, sharding, toxicity, warc
 from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
@@ -44,6 +44,21 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
@@ -58,6 +73,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op6_warc": op6_warc,
     "op7_shard": op7_shard,
+    "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
 }
 
