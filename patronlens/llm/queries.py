@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, langid, mixing, sharding, toxicity, warc
+from patronlens.llm import bpe, langid, mixing, neardup, sharding, toxicity, warc
 from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
@@ -68,6 +68,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(rows, model, ["doc_id", "held_out"])
 
 
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classed = neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return classed.select("doc_id", "class_id", "links")
+
+
 QUERIES = {
     "op3_mix": op3_mix,
     "op4_language": op4_language,
@@ -75,6 +80,7 @@ QUERIES = {
     "op7_shard": op7_shard,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
+    "op10_neardup": op10_neardup,
 }
 
 
