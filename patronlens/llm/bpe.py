@@ -26,7 +26,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.plans.tables import staged
 
 BLOCK_CHARS = 24_000_000
 # What the tokenizer's pattern takes as white space; str.split() knows four more.
@@ -115,7 +114,8 @@ def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
 
 
 def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Word lists of buckets to lists of ids: each distinct word is encoded once a bucket."""
+    """Word lists of buckets to lists of ids: each distinct word is encoded once a bucket.
+    The blocks' own rows pass unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(tokenizer_path)
@@ -123,7 +123,11 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
         now = None
         for batch in batches:
             for row in range(batch.num_rows):
-                block, bucket, body = (batch.column(i)[row].as_py() for i in range(3))
+                block, bucket = (batch.column(i)[row].as_py() for i in range(2))
+                if bucket < 0:
+                    yield batch.slice(row, 1)
+                    continue
+                body = batch.column(2)[row].as_py()
                 if bucket != now:
                     now, known = bucket, {}
                 words = unpack(body).decode().split("\n")
@@ -210,8 +214,9 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK
     """doc_id, ids and decoded text of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     buckets = min(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), 1 << 15)
-    blocks = staged(to_blocks(docs, buckets, block_chars), "bpe-blocks")
-    words = blocks.where("bucket >= 0").repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-    rows = encode_words(words, tokenizer_path).unionByName(blocks.where("bucket < 0"))
+    blocks = to_blocks(docs, buckets, block_chars)
+    place = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int"))
+    words = blocks.withColumn("_place", place).repartition(buckets, "_place").drop("_place").sortWithinPartitions("bucket", "block")
+    rows = encode_words(words, tokenizer_path)
     last = F.when(F.col("bucket") < 0, F.lit(1)).otherwise(0)
     return assemble(rows.repartition("block").sortWithinPartitions("block", last, "bucket"), tokenizer_path)
