@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, langid, mixing, neardup, sharding, toxicity, warc
+from patronlens.llm import annscan, bpe, langid, lzprint, mixing, neardup, sharding, toxicity, warc, wavelet
 from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_lzprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lzprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annscan.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     mixed = mixing.mix_sources(docs, weights=[3, 1, 2], share=1.5, max_epochs=2.0)
@@ -28,6 +42,12 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, trees, ["doc_id", "held_out"])
 
 
+def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = table_path(spark, "wavelet")
+    wavelet.write_shards(table(spark, sf_dir, "documents", "doc_id", "text"), path, tokenizer_path("byte_bpe_50k.json"), end=2)
+    return wavelet.read_shards(spark, path)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), path, min_bytes=0)
@@ -44,12 +64,6 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
     return done.select(
@@ -74,8 +88,11 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lzprint": op1_lzprint,
+    "op2_ann": op2_ann,
     "op3_mix": op3_mix,
     "op4_language": op4_language,
+    "op5_wavelet": op5_wavelet,
     "op6_warc": op6_warc,
     "op7_shard": op7_shard,
     "op8_bpe": op8_bpe,
