@@ -250,7 +250,7 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, features
     labelled = labelled.where("toxic is not null")
     rows = labelled.count()
     draw = F.crc32(F.concat(F.lit("fit:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    sample = staged(labelled.where(draw * F.lit(float(rows)) < F.lit(fit_rows) * F.lit(float(1 << 32))).select("text", F.col("toxic").cast("int").alias("toxic")), "toxic-sample")
+    sample = staged(labelled.where(draw * F.lit(float(rows)) < F.lit(fit_rows) * F.lit(float(1 << 32))).select("text", F.col("toxic").cast("int").alias("toxic")).repartition(max(1, min(64, fit_rows // 500))), "toxic-sample")
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if set(totals) != {0, 1}:
         return Model(letters, {}, np.zeros(0), -500.0)
@@ -265,7 +265,7 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, features
             for toxic, found in n.items():
                 yield pa.RecordBatch.from_pydict({"f": list(found), "toxic": [toxic] * len(found), "n": list(found.values())}, schema=pa.schema([("f", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())]))
 
-    counted = sample.repartition(max(1, min(64, fit_rows // 500))).mapInArrow(count, "f string, toxic int, n long").groupBy("f").agg(
+    counted = sample.mapInArrow(count, "f string, toxic int, n long").groupBy("f").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("a"),
         F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("b"),
     )
@@ -290,24 +290,26 @@ def fit(docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, features
 
     size = len(index)
     to_vector = F.udf(lambda i: SparseVector(size, i, [1.0] * len(i)), VectorUDT())
-    rows = staged(sample.repartition(max(1, min(64, fit_rows // 500))).mapInArrow(vectors, "i array<int>, label double"), "toxic-vectors")
+    rows = staged(sample.mapInArrow(vectors, "i array<int>, label double"), "toxic-vectors")
     fitted = LogisticRegression(regParam=0.0003, elasticNetParam=0.0, maxIter=60, standardization=False).fit(rows.select(to_vector("i").alias("features"), "label"))
     return Model(letters, index, fitted.coefficients.toArray(), float(fitted.intercept))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs with score and predicted, over whole texts."""
+def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Columns ``keep`` of docs with the score of the whole text and whether it is at least 0.5.
+    ``names`` are those of the two new columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = docs.select(*keep).schema.fields
-    schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
+    read = keep if "text" in keep else [*keep, "text"]
+    at = read.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         reader = Reader(m.letters, m.index)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                score = np.array([m.score(reader.features(t)) for t in batch.column(batch.num_columns - 1).to_pylist()], float)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=[*keep, "score", "predicted"])
+            for first in range(0, whole.num_rows, 512):
+                batch = whole.slice(first, 512)
+                score = np.array([m.score(reader.features(t)) for t in batch.column(at).to_pylist()], float)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=schema.names)
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*read).mapInArrow(run, schema)
