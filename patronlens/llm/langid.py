@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FIT_ROWS = 2000
 UNDETERMINED = "und"
@@ -169,30 +170,29 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Trees:
     return Trees(langs, by_lang)
 
 
-def predict(docs: DataFrame, trees: Trees, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs with lang_pred and score, the share of the winner if each language
-    had the odds of its code length."""
+def predict(docs: DataFrame, trees: Trees, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of docs with the language and its score: the share of the winner if each
+    language had the odds of its code length. ``names`` are those of the two new columns."""
     langs = trees.langs
-    fields = docs.select(*keep).schema.fields
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double"
     if not langs:
-        return docs.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(UNDETERMINED).alias(names[0]), F.lit(0.0).alias(names[1]))
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    read = keep if "text" in keep else [*keep, "text"]
+    at = read.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names = np.array(model.langs, dtype=object)
+        languages = np.array(model.langs, dtype=object)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                bits = model.score(batch.column(batch.num_columns - 2))
-                best = bits.argmin(axis=1)
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                bits = model.score(batch.column(at))
                 odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0))
-                some = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-                lang = np.where(some, names[best], UNDETERMINED)
+                some = batch.column(len(read)).to_numpy(zero_copy_only=False)
+                lang = np.where(some, languages[bits.argmin(axis=1)], UNDETERMINED)
                 score = np.where(some, 1.0 / odds.sum(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(lang, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score)], names=schema.names)
 
-    source = docs.select(*keep, F.col("text").alias("_text"), letters.alias("_letters"))
-    return source.mapInArrow(run, schema)
+    return docs.select(*read, letters.alias("_letters")).mapInArrow(run, schema)

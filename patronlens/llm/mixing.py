@@ -88,7 +88,7 @@ def mix_sources(
     seed: int = 17,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """The rows of docs (doc_id, text, source) with size, source_size, target and repetitions.
+    """The rows of docs (doc_id, text, source) with _words, _source_words, _target and _repetitions.
 
     ``weights`` repeat over the sources in code point order; ``share`` is the words wanted, in
     parts of all words. ``carry`` names the columns to keep (doc_id by default).
@@ -101,7 +101,7 @@ def mix_sources(
     plan = plan_mix(narrow.select("_source", "_size", "_draw"), weights, share, max_epochs)
     rows = keyed if "text" in carry else narrow
     taken = F.col("_whole") + (F.col("_draw") <= F.coalesce("_last", F.lit(""))).cast("long")
+    plan = plan.select("_source", "_whole", "_last", F.col("source_size").alias("_source_words"), F.col("target").alias("_target"))
     return rows.join(plan, "_source").select(
-        *carry, F.col("_size").alias("_words"), F.col("source_size").alias("_source_words"),
-        F.col("target").alias("_target"), taken.alias("_repetitions"),
+        *carry, F.col("_size").alias("_words"), "_source_words", "_target", taken.alias("_repetitions")
     )

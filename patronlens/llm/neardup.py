@@ -301,7 +301,8 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, df_bits: int = DF_BITS
 ) -> DataFrame:
-    """doc_id, key, class_id and links of every row of docs (doc_id, text)."""
+    """doc_id, text key, class (its smallest key and its smallest doc_id) and links of every row of
+    docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     df = document_frequencies(docs, words, df_bits)
@@ -356,9 +357,10 @@ def near_duplicates(
     nodes = distinct.select("key", "first_id").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     nodes = staged(nodes.join(ends, "key", "left"), "near-nodes")
     classes = nodes.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    classed = staged(nodes.join(classes, "root").select("key", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links")), "near-classes")
-    found = signed.select("doc_id", "key").join(classed, "key").select("doc_id", "key", "class_id", "links")
+    classed = staged(nodes.join(classes, "root").select("key", F.col("root").alias("class_key"), "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links")), "near-classes")
+    found = signed.select("doc_id", "key").join(classed, "key").select("doc_id", "key", "class_key", "class_id", "links")
     empty = docs.where("text is null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("string").alias("key"), F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("links")
+        F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("string").alias("key"),
+        F.lit(None).cast("string").alias("class_key"), F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("links")
     )
     return found.union(empty)
