@@ -13,7 +13,8 @@ no list meets in one task; a query sees every chunk of the lists it probes, and
 they hold ``k`` other vectors, if there are as many.
 
 Vectors that are null, zero, of another length than most, or hold a null or non-finite component
-take no part, nor do rows without an id. Rows with the query's id are its own.
+take no part, nor do rows without an id. Rows with the query's id are its own; an id given twice is
+one query (the smaller of its vectors as bytes).
 """
 
 from __future__ import annotations
@@ -185,7 +186,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
             take = pa.array(qi)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(order[qi, at].astype(np.int32))], names=["query_id", "q", "list"])
 
-    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q")).mapInArrow(probes, "query_id long, q binary, list int")
+    asked = rows.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("q")).mapInArrow(probes, "query_id long, q binary, list int")
     asked = staged(asked, "ann-probes")
     loads = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}  # at most MAX_LISTS
     if not loads:
