@@ -44,7 +44,10 @@ class Totals:
         for lo, hi in spans:
             i, j = bisect.bisect_right(self.at, lo) - 1, bisect.bisect_left(self.at, hi)
             rows += self.row[j] - self.row[i]
-        self.add(self.fetch(spans, -(-rows // self.limit)))
+        stride, known = -(-rows // self.limit), len(self.at)
+        while len(self.at) == known and stride >= 1:  # spans of fewer rows than the stride: all of them
+            self.add(self.fetch(spans, stride))
+            stride = stride // 2
 
     def cut(self, start: int, end: int, capacity: int, hopeful: bool) -> int:
         """The furthest cut within capacity; where totals are not known, the best or worst case."""
