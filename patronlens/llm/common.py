@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def small_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Bound the bytes, not only the rows, of the batches that Python tasks read; a smaller bound
+    that the session has stays."""
+    option = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(option, "67108864b").rstrip("b") in ("67108864", "64m", "-1"):  # as Spark ships it
+        spark.conf.set(option, size)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import U64, mix, span_hashes
+from patronlens.llm.common import U64, mix, small_batches, span_hashes
 from patronlens.plans.tables import staged
 
 WORDS = 5
@@ -41,7 +41,7 @@ DF_BITS = 20
 SLICES = 256
 TABLE_BITS = 14  # variates per sample; a shingle picks its own by hash
 CHUNK = 1 << 20
-BLOCK = 512
+BLOCK = 128
 LEAD_ROUNDS = 4
 SLACK = 0.2  # a signature rules a pair out when it agrees this far below the threshold (almost 4 sigma)
 
@@ -209,6 +209,10 @@ def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x == y).sum(axis=-1)
 
 
+def signature_matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
+
+
 def likely(pairs: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose signatures agree in ``least`` samples."""
     both = pairs.join(signatures.select(F.col("key").alias("a"), F.col("signature").alias("x")), "a").join(
@@ -217,7 +221,9 @@ def likely(pairs: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(batch.num_rows, -1) for i in (2, 3))
+            if not batch.num_rows:
+                continue
+            x, y = (signature_matrix(batch.column(i)) for i in (2, 3))
             keep = pa.array(agreeing(x, y) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
@@ -262,14 +268,14 @@ def block_pairs(members: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sx, sy = (np.frombuffer(b"".join(r["signature"] for r in side), "<u4").reshape(len(side), -1) for side in (x, y))
-                roots = np.array([r["root"] for r in y], dtype=object)
+            for row in range(batch.num_rows):  # not the whole batch: blocks are large
+                x, y = (batch.column(c)[row].values for c in (0, 1))
+                (ka, ra, sx), (kb, rb, sy) = ((v.field("key").to_pylist(), v.field("root").to_pylist(), signature_matrix(v.field("signature"))) for v in (x, y))
+                rb = np.array(rb, dtype=object)
                 pairs = set()
-                for i, row in enumerate(sx):
-                    a = x[i]["key"]
-                    for k in np.flatnonzero((agreeing(sy, row) >= least) & (roots != x[i]["root"])):
-                        pairs.add((min(a, y[k]["key"]), max(a, y[k]["key"])))
+                for a, root, one in zip(ka, ra, sx, strict=True):
+                    for k in np.flatnonzero((agreeing(sy, one) >= least) & (rb != root)):
+                        pairs.add((min(a, kb[k]), max(a, kb[k])))
                 yield pa.RecordBatch.from_pydict({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, schema=pa.schema([("a", pa.string()), ("b", pa.string())]))
 
     left, right = (packed.select("band", F.col("part").alias(p), F.col("rows").alias(r)) for p, r in (("i", "x"), ("j", "y")))
@@ -304,6 +310,7 @@ def near_duplicates(
     """doc_id, text key, class (its smallest key and its smallest doc_id) and links of every row of
     docs (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
     df = document_frequencies(docs, words, df_bits)
     documents = docs.where("text is not null").count()
