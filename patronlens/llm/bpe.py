@@ -17,6 +17,7 @@ Null and empty texts: no ids, empty decoded text. Rows with equal or null ids ar
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,8 +27,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronlens.llm.common import small_batches
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 16_000_000
 # What the tokenizer's pattern takes as white space; str.split() knows four more.
 MORE = re.compile(r"[\x1c-\x1f]")
 ONLY = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -68,6 +70,32 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
+ONE, TWO = 192, 48  # numbers below 192 take a byte, the next 48 * 256 two, the others five
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Numbers by size, their first bytes apart from the rest: frequent words have small ones."""
+    v = values.astype(np.int64)
+    two, five = (v >= ONE) & (v < ONE + (TWO << 8)), v >= ONE + (TWO << 8)
+    first = np.where(five, ONE + TWO, np.where(two, ONE + (v - ONE >> 8), v)).astype(np.uint8)
+    bodies = [pack(first.tobytes()), pack((v[two] - ONE & 255).astype(np.uint8).tobytes()), pack(planes(v[five], 4))]
+    return struct.pack("<III", *map(len, bodies)) + b"".join(bodies)
+
+
+def unpack_numbers(data: bytes) -> tuple[np.ndarray, int]:
+    """The numbers and the bytes they took."""
+    at, parts = 12, []
+    for n in struct.unpack_from("<III", data):
+        parts.append(unpack(data[at : at + n]))
+        at += n
+    first = np.frombuffer(parts[0], np.uint8)
+    out = first.astype(np.int32)
+    two, five = (first >= ONE) & (first < ONE + TWO), first == ONE + TWO
+    out[two] = (out[two] - ONE << 8) + np.frombuffer(parts[1], np.uint8) + ONE
+    out[five] = from_planes(parts[2], 4)
+    return out, at
+
+
 def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
     """Rows of two kinds: the words of a block that fall in a bucket, and (bucket -1) the block
     itself: word numbers of its texts, words per text, ids of its documents."""
@@ -79,7 +107,12 @@ def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
         numbers, texts, ids, chars = Numbers(), [], [], 0
 
         def flush() -> pa.RecordBatch:
+            seq = np.concatenate(texts) if texts else np.zeros(0, np.int32)
             words = list(numbers)
+            frequent = np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")  # short numbers for them
+            rank = np.empty(len(words), np.int32)
+            rank[frequent] = np.arange(len(words), dtype=np.int32)
+            words = [words[i] for i in frequent]
             bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets for w in words), np.int32, len(words))
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -93,15 +126,15 @@ def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
                 mine = order[cuts[n] : cuts[n + 1]]
                 if len(mine):
                     add(n, pack("\n".join([words[i] for i in mine]).encode()), [], [])
-            seq = np.concatenate(texts) if texts else np.zeros(0, np.int32)
-            add(-1, pack(planes(seq, 3 if len(words) < 1 << 24 else 4) + planes(bucket, 2)), [len(words), *map(len, texts)], ids)
+            add(-1, pack_numbers(rank[seq]) + pack(planes(bucket, 2)), [len(words), *map(len, texts)], ids)
             return pa.RecordBatch.from_pydict(out, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary()), ("counts", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64()))]))
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row in range(batch.num_rows):
+                text = batch.column(1)[row].as_py()
                 words = split_words(text) if text else []
                 texts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                ids.append(key)
+                ids.append(batch.column(0)[row].as_py())
                 chars += len(text or "")
                 if chars >= block_chars:
                     yield flush()
@@ -153,7 +186,7 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 2_000_000) -> DataFrame:
+def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 500_000) -> DataFrame:
     """doc_id, ids and decoded text from the rows of each block, its own row last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +202,7 @@ def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 2_000_000)
                     n = 4 * int(counts[0])
                     parts.append((from_planes(data[:n], 4), from_planes(data[n:], 3)))
                     continue
-                yield from texts_of(unpack(body), counts, batch.column(4)[row].as_py(), parts, piece, emit_chars)
+                yield from texts_of(body, counts, batch.column(4)[row].as_py(), parts, piece, emit_chars)
                 parts = []
 
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
@@ -178,9 +211,8 @@ def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 2_000_000)
 def texts_of(data: bytes, counts, keys: list, parts: list, piece: np.ndarray, emit: int) -> Iterator[pa.RecordBatch]:
     """The documents of one block from its word numbers and the ids of its words, by bucket."""
     n, lengths = int(counts[0]), counts[1:].astype(np.int64)
-    width = 3 if n < 1 << 24 else 4
-    split = int(lengths.sum()) * width
-    seq, bucket = from_planes(data[:split], width), from_planes(data[split:], 2)
+    seq, at = unpack_numbers(data)
+    bucket = from_planes(unpack(data[at:]), 2)
     order = np.argsort(bucket, kind="stable")  # the words' numbers in the order of the parts
     sizes = np.zeros(n, np.int64)
     flat = np.concatenate([f for _, f in parts]) if parts else np.zeros(0, np.uint32)
@@ -213,6 +245,7 @@ def texts_of(data: bytes, counts, keys: list, parts: list, piece: np.ndarray, em
 def encode_decode(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, ids and decoded text of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = min(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), 1 << 15)
     blocks = to_blocks(docs, buckets, block_chars)
     place = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int"))
