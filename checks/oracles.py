@@ -370,17 +370,32 @@ def _f(beta_squared: str) -> str:
     return f"CASE WHEN prec + rec = 0 THEN 0 ELSE (1 + {beta_squared}) * prec * rec / ({beta_squared} * prec + rec) END"
 
 
-def curve(score: str = "score", label: str = "label") -> str:
+# A weight is so many equal rows.
+WEIGHTED = """
+scored AS (
+  SELECT (l_returnflag = 'R')::DOUBLE AS label, (l_discount > 0.05)::DOUBLE AS prediction, round(l_tax, 2) AS score
+  FROM (SELECT *, unnest(range(CAST(l_quantity AS BIGINT))) FROM lineitem)
+)
+"""
+
+DENSE = """
+scored AS (
+  SELECT (o_orderstatus = 'F')::DOUBLE AS label, o_totalprice AS score FROM orders {where}
+)
+"""
+
+
+def curve(score: str = "score", label: str = "label", scored: str = SCORED) -> str:
     return _with(
-        SCORED, _curve(score, label),
+        scored, _curve(score, label),
         select=f"""SELECT threshold, round(prec, 9) AS precision, round(rec, 9) AS recall,
                    round({_f("1.0::DOUBLE")}, 9) AS f1, round({_f("0.25::DOUBLE")}, 9) AS f05 FROM curve""",
     )
 
 
-def areas(score: str = "score", label: str = "label") -> str:
+def areas(score: str = "score", label: str = "label", scored: str = SCORED) -> str:
     return _with(
-        SCORED, _curve(score, label),
+        scored, _curve(score, label),
         select="SELECT round(area_under_roc, 9) AS area_under_roc, round(area_under_pr, 9) AS area_under_pr FROM areas",
     )
 
@@ -388,6 +403,13 @@ def areas(score: str = "score", label: str = "label") -> str:
 METRIC_NAMES = ["accuracy", "weighted_precision", "weighted_recall", "f1"]
 
 
+def class_metrics(scored: str = SCORED) -> str:
+    return _with(
+        scored, CLASSES, CLASS_METRICS,
+        select="SELECT " + ", ".join(f"round({n}, 9) AS {n}" for n in METRIC_NAMES) + " FROM class_metrics",
+    )
+
+
 def report() -> str:
     rows = [("class_metrics", n, n) for n in METRIC_NAMES]
     rows += [("hard_areas", "area_under_roc", "auc")]
@@ -470,10 +492,12 @@ def oracle_sql() -> dict[str, str]:
                      THEN 'train' ELSE 'test' END AS split FROM pair_list""",
         ),
         "features_corrected": corrected(),
-        "metric_multiclass": _with(
-            SCORED, CLASSES, CLASS_METRICS,
-            select="SELECT " + ", ".join(f"round({n}, 9) AS {n}" for n in METRIC_NAMES) + " FROM class_metrics",
-        ),
+        "metric_multiclass": class_metrics(),
+        "metric_multiclass_weighted": class_metrics(WEIGHTED),
+        "area_under_curves_weighted": areas(scored=WEIGHTED),
+        "threshold_curve_dense": curve(scored=DENSE.format(where="")),
+        "threshold_curve_nulls": curve(scored=DENSE.format(where="WHERE o_orderkey % 7 <> 0")),
+        "area_under_curves_dense": areas(scored=DENSE.format(where="")),
         "metric_auc_hard": _with(
             SCORED, _curve("prediction", "label"), select="SELECT round(area_under_roc, 9) AS auc FROM areas"
         ),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from patronlens.config import PAIR_KEY, FeatureConfig
 from patronlens.functions import fill_profile
 from patronlens.operators import blocks
+from patronlens.operators.fanout import fan_out
 from patronlens.operators.labelled import join_log_labels, label_pairs, with_day
 from patronlens.operators.relational import attach_left, full_outer_chain, share_of_total
 from patronlens.operators.split import keyed_split
@@ -142,7 +143,8 @@ def features_typed(spark, sf_dir):
 
 def normalized_features(spark, sf_dir):
     columns = training.input_columns(CONFIG, everything=True)
-    return training.normalized_columns(features_full(spark, sf_dir), columns)
+    weighted = features_weighted(spark, sf_dir)
+    return fan_out(training.normalized_columns(weighted, columns, keep=["weight"]), "weight", by=PAIR_KEY)
 
 
 def split_train_test(spark, sf_dir):
@@ -183,13 +185,9 @@ def eval_report(spark, sf_dir):
     return _rounded(evaluation.report(_scored_documents(spark, sf_dir), "documents", "all"))
 
 
-# Search sizes for one machine; the full grids are the library's default.
-SMALL_GRIDS = {
-    "rf": {"numTrees": [10, 20], "maxDepth": [5]},
-    "lr": {"threshold": [0.5], "maxIter": [7, 10]},
-    "dt": {"maxBins": [40], "maxDepth": [5, 7]},
-    "gbt": {"maxDepth": [5], "maxIter": [5]},
-}
+# Labelled pairs a fit reads (training.train's bound): full grids and folds on one machine. Scores
+# and reports cover every pair.
+FIT_PAIRS = 1000
 
 
 def _model_rows(spark, sf_dir):
@@ -202,10 +200,10 @@ def cross_validated(spark, sf_dir, name):
     """Train on the training side, then report both sides with the model's own scores."""
     rows = _model_rows(spark, sf_dir)
     sides = {side: rows.filter(F.col("split") == side) for side in ("train", "test")}
-    trained = training.train(sides["train"], name, SMALL_GRIDS[name], folds=2, weight="weight")
+    trained = training.train(sides["train"], name, weight="weight", max_fit_pairs=FIT_PAIRS)
     reports = [
         evaluation.report(
-            training.score(trained, side_rows, [*PAIR_KEY, "label"]), name, side, score="probability"
+            training.score(trained, side_rows, [*PAIR_KEY, "label", "weight"]), name, side, score="probability", weight="weight"
         )
         for side, side_rows in sides.items()
     ]
@@ -213,16 +211,52 @@ def cross_validated(spark, sf_dir, name):
 
 
 def score_pairs(spark, sf_dir):
-    """Every pair scored by a cross-validated logistic regression."""
+    """Every listed pair, as often as it is listed, scored by each cross-validated model."""
     rows = _model_rows(spark, sf_dir)
-    trained = training.train(
-        rows.filter(F.col("split") == "train"), "lr", SMALL_GRIDS["lr"], folds=2, weight="weight"
+    train, scored = rows.filter(F.col("split") == "train"), []
+    for name in training.CLASSIFIERS:
+        trained = training.train(train, name, weight="weight", max_fit_pairs=FIT_PAIRS)
+        scored.append(training.score(trained, rows, [*PAIR_KEY, "weight"]).select(F.lit(name).alias("model"), "*"))
+    every = fan_out(reduce(DataFrame.unionByName, scored), "weight", by=PAIR_KEY)
+    return every.select("model", *[F.col(k).cast("long").alias(k) for k in PAIR_KEY], "prediction", "probability")
+
+
+def _weighted_lines(spark, sf_dir):
+    """Lines as predictions: returned or not against a discount above the middle, by quantity."""
+    return load(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        (F.col("l_discount") > 0.05).cast("double").alias("prediction"),
+        F.round("l_tax", 2).alias("score"),
+        F.col("l_quantity").cast("long").alias("weight"),
     )
-    return training.score(trained, rows).select(
-        F.lit("lr").alias("model"), *[F.col(k).cast("long").alias(k) for k in PAIR_KEY], "prediction", "probability"
+
+
+def metric_multiclass_weighted(spark, sf_dir):
+    return _rounded(evaluation.class_metrics(_weighted_lines(spark, sf_dir), weight="weight"))
+
+
+def area_under_curves_weighted(spark, sf_dir):
+    return _rounded(evaluation.curve_areas(_weighted_lines(spark, sf_dir), "score", weight="weight"))
+
+
+def _dense_orders(spark, sf_dir):
+    """Almost as many scores as orders; every seventh order has none."""
+    orders = load(spark, sf_dir, "orders")
+    return orders.select(
+        (F.col("o_orderstatus") == "F").cast("double").alias("label"),
+        F.col("o_totalprice").cast("double").alias("dense"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice").cast("double")).alias("score"),
     )
 
 
+def threshold_curve_dense(spark, sf_dir, score="dense"):
+    return _rounded(evaluation.threshold_curve(_dense_orders(spark, sf_dir), score))
+
+
+def area_under_curves_dense(spark, sf_dir):
+    return _rounded(evaluation.curve_areas(_dense_orders(spark, sf_dir), "dense"))
+
+
 def queries() -> dict[str, Query]:
     distinct = {"items": ("item_id", "dis"), "sellers": ("seller_id", "mer"), "cats": ("cat_id", "cat"), "brands": ("brand_id", "brand")}
     bought = f"action_type = {CONFIG.purchase}"
@@ -262,6 +296,11 @@ def queries() -> dict[str, Query]:
         "threshold_curve_swapped": partial(threshold_curve, score="label", label="prediction"),
         "area_under_curves": area_under_curves,
         "area_under_curves_swapped": partial(area_under_curves, score="label", label="prediction"),
+        "metric_multiclass_weighted": metric_multiclass_weighted,
+        "area_under_curves_weighted": area_under_curves_weighted,
+        "threshold_curve_dense": threshold_curve_dense,
+        "threshold_curve_nulls": partial(threshold_curve_dense, score="score"),
+        "area_under_curves_dense": area_under_curves_dense,
         "eval_report": eval_report,
         **{f"cv_{name}": partial(cross_validated, name=name) for name in training.CLASSIFIERS},
         "score_pairs": score_pairs,

@@ -254,7 +254,7 @@ def fanout_ratio(log: DataFrame, config: FeatureConfig = FeatureConfig()) -> Dat
     )
     share = F.when(F.col("purchased") > 0, ratio(F.lit(1), F.col("sellers"))).otherwise(F.lit(0.0))
     copies = F.greatest(F.col("purchased"), F.lit(1))
-    return fan_out(per_user.select("user_id", share.alias("u_p_m_ratio"), copies.alias("copies")), "copies")
+    return fan_out(per_user.select("user_id", share.alias("u_p_m_ratio"), copies.alias("copies")), "copies", by=["user_id"])
 
 
 def purchase_history(log: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:

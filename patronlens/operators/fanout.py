@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Copies made per array: bounds the memory of one row, whatever its count.
-_CHUNK = 4096
+# Copies made per array: bounds the memory of one row, whatever its count, and the share of one
+# row that stays in a task when chunks are spread.
+_CHUNK = 256
 
 
-def fan_out(df: DataFrame, copies: str) -> DataFrame:
+def fan_out(df: DataFrame, copies: str, by: Sequence[str] = ()) -> DataFrame:
     """Each row ``copies`` times; the count column is dropped. Rows with 0 or null vanish.
 
     The repeats are produced in chunks, so even a count in the billions never builds one long
-    array, and no shuffle is involved.
+    array. With ``by``, chunks are spread by these columns and the chunk number before they are
+    repeated: a key whose rows repeat most then leaves every task an even share. That is one
+    shuffle of a row per chunk; its partitions are not merged, since their size before the
+    repeats says nothing about what they make. Without ``by`` there is no shuffle.
     """
     n = F.col(copies)
     chunks = F.expr(f"sequence(0L, ({copies} - 1) div {_CHUNK})")
     within = F.expr(f"sequence(1, CAST(least({_CHUNK}L, {copies} - _chunk * {_CHUNK}) AS INT))")
+    chunked = df.filter(n > 0).withColumn("_chunk", F.explode(chunks))
+    if by:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunked = chunked.repartition(tasks, *by, "_chunk")
     return (
-        df.filter(n > 0)
-        .withColumn("_chunk", F.explode(chunks))
-        .withColumn("_copy", F.explode(within))
+        chunked.withColumn("_copy", F.explode(within))
         .drop(copies, "_chunk", "_copy")
     )

@@ -9,17 +9,27 @@ from pyspark.sql import functions as F
 from patronlens.functions.numbers import ratio
 from patronlens.plans.tables import staged
 
-# Score ranges whose running totals are worked out side by side.
+# Score ranges whose running totals are worked out side by side: at least so many, and as many as
+# the session has shuffle partitions.
 RANGES = 256
 
 
-def class_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def _rows(weight: str | None):
+    """How many rows a row stands for."""
+    return F.lit(1) if weight is None else F.col(weight)
+
+
+def class_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """One row: accuracy, weighted precision, weighted recall and weighted F1.
 
+    With ``weight`` a row counts that often, as if it were repeated.
+
     The data is read once, into a (label, prediction) count table of a few rows; each of its
     rows then speaks for its true class and for its predicted class.
     """
-    counts = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(label, prediction).agg(F.sum(_rows(weight)).alias("n"))
     n, hit = F.col("n"), F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(F.lit(0))
     as_true = F.struct(F.col(label).alias("cls"), n.alias("support"), hit.alias("hits"), F.lit(0).cast("long").alias("predicted"))
     as_predicted = F.struct(
@@ -50,22 +60,29 @@ def _f_measure(beta: float):
     return ratio((1 + b) * F.col("precision") * F.col("recall"), b * F.col("precision") + F.col("recall"))
 
 
-def threshold_counts(df: DataFrame, score: str, label: str = "label") -> DataFrame:
+def threshold_counts(
+    df: DataFrame, score: str, label: str = "label", weight: str | None = None, ranges: int | None = None
+) -> DataFrame:
     """Per distinct score: positives and negatives at it, and at or above it.
 
+    Rows whose score is null or NaN have no place in an order of scores: they are left out of the
+    counts and of the totals alike. With ``weight`` a row counts that often.
+
     A running total over one global order would put all scores in one task. Here scores are
     first reduced to one row each, cut into ranges at approximate quantiles, and summed within
     each range in parallel; the ranges above add one number per range. The cut points only
     decide who does the work: the totals are exact for any cut.
     """
-    positive = F.col(label) > 0.5
+    positive, n = F.col(label) > 0.5, _rows(weight)
+    ranges = ranges or max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    threshold = F.col(score).cast("double")
     scores = staged(
-        df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
-            F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+        df.filter(threshold.isNotNull() & ~F.isnan(threshold)).groupBy(threshold.alias("threshold")).agg(
+            F.sum(F.when(positive, n).otherwise(n * 0)).alias("pos"), F.sum(F.when(~positive, n).otherwise(n * 0)).alias("neg")
         ),
         "scores",
     )
-    cuts = sorted(set(scores.approxQuantile("threshold", [i / RANGES for i in range(1, RANGES)], 0.0005)))
+    cuts = sorted(set(scores.approxQuantile("threshold", [i / ranges for i in range(1, ranges)], min(0.0005, 0.1 / ranges))))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) > 2:
         cutter = Bucketizer(splits=splits, inputCol="threshold", outputCol="range", handleInvalid="keep")
@@ -73,10 +90,10 @@ def threshold_counts(df: DataFrame, score: str, label: str = "label") -> DataFra
     else:
         ranged = scores.withColumn("range", F.lit(0.0))
 
-    # At most RANGES + 1 rows from here to the join: one task and a broadcast are enough.
+    # At most ``ranges`` + 1 rows from here to the join: one task and a broadcast are enough.
     above = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranges = (
+    totals = (
         ranged.groupBy("range")
         .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(
@@ -91,7 +108,7 @@ def threshold_counts(df: DataFrame, score: str, label: str = "label") -> DataFra
         Window.partitionBy("range").orderBy(F.col("threshold").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return ranged.join(F.broadcast(ranges), "range").select(
+    return ranged.join(F.broadcast(totals), "range").select(
         "threshold",
         "pos",
         "neg",
@@ -102,11 +119,11 @@ def threshold_counts(df: DataFrame, score: str, label: str = "label") -> DataFra
     )
 
 
-def threshold_curve(df: DataFrame, score: str, label: str = "label") -> DataFrame:
+def threshold_curve(df: DataFrame, score: str, label: str = "label", weight: str | None = None) -> DataFrame:
     """Precision, recall and F-measure (beta 1 and 0.5) at every distinct score."""
     tp, fp = F.col("tp"), F.col("fp")
     return (
-        threshold_counts(df, score, label)
+        threshold_counts(df, score, label, weight)
         .select(
             "threshold",
             ratio(tp, tp + fp).alias("precision"),
@@ -116,7 +133,7 @@ def threshold_curve(df: DataFrame, score: str, label: str = "label") -> DataFram
     )
 
 
-def curve_areas(df: DataFrame, score: str, label: str = "label") -> DataFrame:
+def curve_areas(df: DataFrame, score: str, label: str = "label", weight: str | None = None) -> DataFrame:
     """One row: areas under the ROC and the precision-recall curve, by trapezoids.
 
     Every point knows the point before it (its own counts taken off its running totals), so
@@ -129,15 +146,25 @@ def curve_areas(df: DataFrame, score: str, label: str = "label") -> DataFrame:
     precision0 = F.when(tp0 + fp0 > 0, ratio(tp0, tp0 + fp0)).otherwise(precision)
     roc = ratio(neg, F.col("all_neg")) * (ratio(tp, F.col("all_pos")) + ratio(tp0, F.col("all_pos"))) / 2
     pr = ratio(pos, F.col("all_pos")) * (precision + precision0) / 2
-    return threshold_counts(df, score, label).agg(
+    return threshold_counts(df, score, label, weight).agg(
         F.coalesce(F.sum(roc), F.lit(0.0)).alias("area_under_roc"),
         F.coalesce(F.sum(pr), F.lit(0.0)).alias("area_under_pr"),
     )
 
 
-def hard_auc(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def hard_auc(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """One row: the ROC area when the 0/1 prediction itself is the score."""
-    return curve_areas(df, prediction, label).select(F.col("area_under_roc").alias("auc"))
+    return curve_areas(df, prediction, label, weight).select(F.col("area_under_roc").alias("auc"))
+
+
+def score_counts(
+    df: DataFrame, score: str = "score", label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
+    """(score, label, prediction, rows), staged: all that metrics and curves need of predictions."""
+    columns = list(dict.fromkeys([score, label, prediction]))
+    return staged(df.groupBy(*columns).agg(F.sum(_rows(weight)).alias("rows")), "score_counts")
 
 
 def report(
@@ -147,15 +174,20 @@ def report(
     score: str = "score",
     label: str = "label",
     prediction: str = "prediction",
+    weight: str | None = None,
 ) -> DataFrame:
-    """(model, split, metric, value): every single-number metric of one set of predictions."""
+    """(model, split, metric, value): every single-number metric of one set of predictions.
+
+    The predictions are read once, into a count per (score, prediction, label).
+    """
+    df, weight = score_counts(df, score, label, prediction, weight), "rows"
 
     def tall(wide: DataFrame) -> DataFrame:
         return wide.unpivot([], wide.columns, "metric", "value")
 
     metrics = (
-        tall(class_metrics(df, label, prediction))
-        .unionByName(tall(hard_auc(df, label, prediction)))
-        .unionByName(tall(curve_areas(df, score, label)))
+        tall(class_metrics(df, label, prediction, weight))
+        .unionByName(tall(hard_auc(df, label, prediction, weight)))
+        .unionByName(tall(curve_areas(df, score, label, weight)))
     )
     return metrics.select(F.lit(model).alias("model"), F.lit(split).alias("split"), "metric", "value")

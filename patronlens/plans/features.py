@@ -74,7 +74,7 @@ def full_features(
     filled = wide.na.fill(0).na.fill({"age_range": UNKNOWN_AGE, "gender": missing_gender})
     weight = (F.col("label_rows") * F.col("copies")).alias("weight")
     table = filled.select(*_doubles(config), weight)
-    return table if repeats == "weight" else fan_out(table, "weight")
+    return table if repeats == "weight" else fan_out(table, "weight", by=PAIR_KEY)
 
 
 def basic_features(
@@ -85,7 +85,7 @@ def basic_features(
     Users without a profile keep a null age and gender, and a missing label stays missing.
     """
     wide = _assemble(log, labels, info, config, basic_pair_block)
-    return fan_out(wide.select(*config.basic_columns(), "label_rows"), "label_rows")
+    return fan_out(wide.select(*config.basic_columns(), "label_rows"), "label_rows", by=PAIR_KEY)
 
 
 def typed(features: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:

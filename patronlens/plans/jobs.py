@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.config import PAIR_KEY, FeatureConfig
-from patronlens.operators.split import keyed_split
+from patronlens.operators.fanout import fan_out
+from patronlens.operators.split import keyed_split, random_split
 from patronlens.plans import evaluation, training
 from patronlens.plans.features import basic_features, full_features
 from patronlens.plans.tables import staged, temporary_tables
@@ -74,13 +75,18 @@ def run_training_job(
     config: FeatureConfig = FeatureConfig(semantics="corrected"),
     columns: Sequence[str] | None = None,
     parallelism: int = 2,
+    split: str = "pair",
 ) -> None:
     """Train each model on the labelled pairs, report on both sides of the split, score the rest.
 
     Writes ``report`` and ``search`` (JSON), ``curves`` and, per model, ``predictions``
     (Parquet) under ``out_path``. Feature rows are kept once with their weight and staged,
-    because every fit and every report reads them again.
+    because every fit and every report reads them again; the weight counts in fits, in the choice
+    of the grid point, in every report and in the predictions, which are repeated by it.
+    ``split="row"`` splits row by row instead of by pair.
     """
+    if split not in ("pair", "row"):
+        raise ValueError("split must be 'pair' or 'row'")
     log = read_user_log(spark, log_path, in_format)
     info = read_user_info(spark, info_path, in_format)
     lists = {"train": read_labels(spark, train_path, in_format), "test": read_labels(spark, test_path, in_format)}
@@ -93,7 +99,12 @@ def run_training_job(
             staged(keyed_split(full_features(log, labels, info, config, repeats="weight")), f"{name}_rows")
             for name, labels in lists.items()
         )
-        sides = {side: known.filter(F.col("split") == side) for side in ("train", "test")}
+        if split == "row":
+            train, test = random_split(fan_out(known.drop("split"), "weight", by=PAIR_KEY))
+            one = F.lit(1).cast("long")
+            sides = {"train": staged(train.withColumn("weight", one), "train_side"), "test": staged(test.withColumn("weight", one), "test_side")}
+        else:
+            sides = {side: known.filter(F.col("split") == side) for side in ("train", "test")}
 
         reports, curves, predictions, searches = [], [], [], []
         for name in models:
@@ -102,11 +113,13 @@ def run_training_job(
             )
             searches += [(name, json.dumps(point), point["area_under_roc"], point["chosen"]) for point in training.search_points(model)]
             for side, rows in sides.items():
-                scored = staged(training.score(model, rows, [*PAIR_KEY, "label"]), f"scored_{name}_{side}")
-                reports.append(evaluation.report(scored, name, side, score="probability"))
-                curve = evaluation.threshold_curve(scored, "probability")
+                scored = training.score(model, rows, [*PAIR_KEY, "label", "weight"])
+                counts = evaluation.score_counts(scored, "probability", weight="weight")
+                reports.append(evaluation.report(counts, name, side, score="probability", weight="rows"))
+                curve = evaluation.threshold_curve(counts, "probability", weight="rows")
                 curves.append(curve.select(F.lit(name).alias("model"), F.lit(side).alias("split"), "*"))
-            predictions.append(training.score(model, asked).select(F.lit(name).alias("model"), "*"))
+            scored = fan_out(training.score(model, asked, [*PAIR_KEY, "weight"]), "weight", by=PAIR_KEY)
+            predictions.append(scored.select(F.lit(name).alias("model"), "*"))
 
         write_report(_union(reports), f"{out_path}/report")
         write_report(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-import warnings
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -20,14 +21,20 @@ _run: ContextVar[str] = ContextVar("run", default="")
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="patronlens-")
+    folder = tempfile.mkdtemp(prefix="patronlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def checkpoint_folder(spark: SparkSession) -> str | None:
-    """The shared folder the session names; a temporary one only for a local master."""
+    """The shared folder the session names, by option or by ``setCheckpointDir``; a temporary one,
+    dropped at exit, only for a local master."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder
+    named = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if named.isDefined():
+        return named.get()
     if spark.conf.get("spark.master", "").startswith("local"):
         return _local_folder()
     return None
@@ -44,14 +51,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     Several consumers then share one computation, each reading only its columns; a lost
     executor costs a re-read, not a recomputation; and Spark knows the true size of the table
-    when it chooses a join. Without a shared folder the plan is returned as it is, which is
-    right but computes the input once per consumer.
+    when it chooses a join. Without a shared folder there is nowhere to put it: an error.
     """
     spark = df.sparkSession
     path = table_path(spark, name)
     if path is None:
-        warnings.warn(f"{CHECKPOINT_DIR} is not set: {name} is recomputed by each consumer", stacklevel=2)
-        return df
+        raise ValueError(f"{name} is staged: set {CHECKPOINT_DIR} to a folder that all executors share")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

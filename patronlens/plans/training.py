@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.config import PAIR_KEY, FeatureConfig
-from patronlens.operators.split import SPLIT_SEED, with_fold
+from patronlens.operators.split import SPLIT_SEED, pair_hash, with_fold
 
 CLASSIFIERS: dict[str, type[Estimator]] = {
     "rf": RandomForestClassifier,
@@ -60,10 +60,10 @@ def prepare(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     return PipelineModel(preparation(columns)).transform(features)
 
 
-def normalized_columns(features: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The normalised vector, back as one column per feature."""
-    values = prepare(features, columns).select(vector_to_array("features").alias("v"))
-    return values.select(*[F.col("v")[i].alias(c) for i, c in enumerate(columns)])
+def normalized_columns(features: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The normalised vector, back as one column per feature, and the columns to keep."""
+    values = prepare(features, columns).select(*keep, vector_to_array("features").alias("v"))
+    return values.select(*keep, *[F.col("v")[i].alias(c) for i, c in enumerate(columns)])
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def cross_validator(
     if weight is not None:
         settings["weightCol"] = weight
     if name != "lr":
-        # More tree nodes per pass over the data; the model stays the same.
+        # More tree nodes per pass over the data; a forest draws its columns in another order then.
         settings |= {"seed": seed, "maxMemoryInMB": 1024}
     classifier = CLASSIFIERS[name](**settings)
     builder = ParamGridBuilder()
@@ -96,7 +96,7 @@ def cross_validator(
         builder = builder.addGrid(classifier.getParam(param), list(values))
     return CrossValidator(
         estimator=classifier,
-        evaluator=BinaryClassificationEvaluator(),
+        evaluator=BinaryClassificationEvaluator(**({} if weight is None else {"weightCol": weight})),
         estimatorParamMaps=builder.build(),
         numFolds=folds,
         parallelism=parallelism,
@@ -114,13 +114,20 @@ def train(
     parallelism: int = 2,
     weight: str | None = None,
     seed: int = SPLIT_SEED,
+    max_fit_pairs: int | None = None,
 ) -> Trained:
     """Fit one classifier, by default over its whole grid.
 
+    ``max_fit_pairs`` bounds the labelled pairs a fit reads, chosen by a hash of the pair (about
+    that many; default: all pairs). It bounds nothing else.
+
     Assembling and normalising do not learn anything, so they run once, and the many fits
     share the persisted vectors. All rows of a pair share a fold.
     """
     columns = list(columns) if columns is not None else input_columns()
+    if max_fit_pairs is not None:
+        share = max_fit_pairs / max(features.select(*PAIR_KEY).distinct().count(), 1)
+        features = features.filter(pair_hash(seed + 2) % 1_000_000 < share * 1_000_000)
     stages = preparation(columns)
     kept = ["label", "features", "fold"] + ([weight] if weight else [])
     vectors = PipelineModel(stages).transform(with_fold(features, folds, seed)).select(*kept)

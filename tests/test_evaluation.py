@@ -95,3 +95,11 @@ def test_report_is_written_and_read_back(spark, scored, tmp_path):
     assert {r.metric for r in back.collect()} == {
         "accuracy", "weighted_precision", "weighted_recall", "f1", "auc", "area_under_roc", "area_under_pr",
     }
+
+
+def test_null_and_nan_scores_have_no_place(spark):
+    rows = [(0.9, 1.0), (None, 0.0), (0.2, 0.0), (float("nan"), 1.0), (0.5, 1.0)]
+    df = spark.createDataFrame(rows, "score double, label double")
+    got = {r.threshold: (r.tp, r.fp, r.all_pos, r.all_neg) for r in evaluation.threshold_counts(df, "score").collect()}
+    assert got == {0.9: (1, 0, 2, 1), 0.5: (2, 0, 2, 1), 0.2: (2, 1, 2, 1)}
+    assert evaluation.curve_areas(df, "score").first().area_under_roc == 1.0

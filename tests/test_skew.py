@@ -137,3 +137,14 @@ def test_blocks_read_only_their_columns(log, labels):
         scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
         read = {name.split("#")[0] for name in scan[scan.index("[") + 1 : scan.index("]")].split(",")}
         assert read == set(labelled.columns) - columns, block.__name__
+
+
+def test_repeats_of_a_hot_user_are_spread(spark, conf):
+    """A user with 1,500 purchased sellers repeats each of 1,500 rows 1,500 times."""
+    conf({"spark.sql.shuffle.partitions": "16"})
+    hot = spark.range(1500).selectExpr("1L AS user_id", "id AS seller_id", "1500L AS n")
+    many = spark.range(20_000).selectExpr("id + 2 AS user_id", "id AS seller_id", "1L AS n")
+    rows = fan_out(hot.union(many).coalesce(1), "n", by=["user_id", "seller_id"])
+    per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_task) == 1500 * 1500 + 20_000
+    assert max(per_task) < 2 * sum(per_task) / 16

@@ -2,7 +2,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from checks.queries import SMALL_GRIDS
+from checks.queries import queries
 from patronlens import FeatureConfig
 from patronlens.operators.split import keyed_split, with_fold
 from patronlens.plans import full_features, jobs, training
@@ -29,7 +29,28 @@ def test_full_grids(spark, name, points):
     assert len(search.getEstimatorParamMaps()) == points
     assert search.getNumFolds() == 5
     assert search.getEvaluator().getMetricName() == "areaUnderROC"
-    assert set(SMALL_GRIDS[name]) == set(training.GRIDS[name])
+    grid = [{p.name: v for p, v in point.items()} for point in search.getEstimatorParamMaps()]
+    for param, values in training.GRIDS[name].items():
+        assert {point[param] for point in grid} == set(values)
+
+
+def test_queries_search_the_full_grids(monkeypatch, spark):
+    """The registered queries pass no grid and no folds of their own, and ask for all models."""
+    asked = []
+
+    class Seen(Exception):
+        pass
+
+    def seen(features, name, *args, **options):
+        asked.append((name, args, options))
+        raise Seen
+
+    monkeypatch.setattr(training, "train", seen)
+    for query in ("cv_rf", "cv_lr", "cv_dt", "cv_gbt", "score_pairs"):
+        with pytest.raises(Seen):
+            queries()[query](spark, SMALL)
+    assert [name for name, *_ in asked] == ["rf", "lr", "dt", "gbt", "rf"]
+    assert all(args == () and set(options) == {"weight", "max_fit_pairs"} for _, args, options in asked)
 
 
 @pytest.mark.parametrize("name", ["rf", "lr", "dt", "gbt"])
@@ -74,7 +95,8 @@ def test_split_and_folds_go_by_pair(spark):
 def test_whole_job_from_files_to_reports(spark, tmp_path):
     log, labels, info = inputs(spark, SMALL, "events")
     paths = {name: str(tmp_path / name) for name in ("log", "info", "train", "test", "out")}
-    for frame, name in ((log, "log"), (info, "info"), (labels, "train"), (labels.withColumn("label", F.lit(None).cast("int")), "test")):
+    asked = labels.withColumn("label", F.lit(None).cast("int"))
+    for frame, name in ((log, "log"), (info, "info"), (labels, "train"), (asked.union(asked), "test")):
         frame.write.csv(paths[name], header=True)
     jobs.run_training_job(
         spark, paths["log"], paths["info"], paths["train"], paths["test"], paths["out"],
@@ -83,8 +105,7 @@ def test_whole_job_from_files_to_reports(spark, tmp_path):
     report = spark.read.json(f"{paths['out']}/report").collect()
     assert {(r.model, r.split) for r in report} == {(m, s) for m in ("lr", "dt") for s in ("train", "test")}
     predictions = spark.read.parquet(f"{paths['out']}/predictions")
-    assert predictions.groupBy("model").count().collect() is not None
-    assert predictions.count() == 2 * 99
+    assert {r.model: r["count"] for r in predictions.groupBy("model").count().collect()} == {"lr": 2 * 99, "dt": 2 * 99}
     curves = spark.read.parquet(f"{paths['out']}/curves")
     assert set(curves.columns) >= {"model", "split", "threshold", "precision", "recall", "f1", "f05"}
 
@@ -116,3 +137,32 @@ def test_shared_log_changes_no_features(spark):
     for part in parts:
         want, got = full_features(log, part, info), full_features(shared, part, info)
         assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
+
+
+def test_a_weight_is_so_many_rows(spark):
+    """Reports on weighted rows equal reports on the rows they stand for."""
+    from patronlens.operators import fan_out
+    from patronlens.plans import evaluation
+
+    rows = spark.createDataFrame(
+        [(i, i % 3, float(i % 2), float(i % 5 > 2), (i * 7 % 11) / 11, i % 4) for i in range(60)],
+        "user_id long, seller_id long, label double, prediction double, score double, weight long",
+    )
+    weighted = evaluation.report(rows, "m", "s", weight="weight").collect()
+    repeated = evaluation.report(fan_out(rows, "weight"), "m", "s").collect()
+    assert {r.metric: r.value for r in weighted} == pytest.approx({r.metric: r.value for r in repeated}, abs=1e-12)
+
+
+def test_fit_bound_is_off_by_default_and_bounds_pairs(rows, monkeypatch):
+    seen = []
+
+    class Search:
+        def fit(self, vectors):
+            seen.append(vectors.count())
+            raise InterruptedError
+
+    monkeypatch.setattr(training, "cross_validator", lambda *a, **k: Search())
+    for bound in (None, 200):
+        with pytest.raises(InterruptedError):
+            training.train(rows, "lr", max_fit_pairs=bound)
+    assert seen[0] == rows.count() and seen[1] < seen[0] / 2
