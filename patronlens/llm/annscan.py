@@ -2,8 +2,8 @@
 
 Vectors are extended by one component so that the largest inner product is the smallest distance,
 rotated by a random orthogonal matrix, and kept in lists around centroids, in chunks of bounded
-size whose components lie in column blocks. A query probes the lists nearest to it. In a probed
-chunk distances are summed block by block; after each block a hypothesis test drops the candidates
+size whose components lie in column blocks. A query probes the lists nearest to it, the very
+nearest first: the k-th score found there bounds the search of the others. In a probed chunk distances are summed block by block; after each block a hypothesis test drops the candidates
 whose partial distance, scaled up, is too far above the best found so far. What survives all blocks
 is scored exactly, in double precision, on the original vectors.
 
@@ -32,9 +32,11 @@ K = 20
 FIT_ROWS = 20_000
 MAX_LISTS = 4096
 PROBED = 0.75  # share of the lists a query probes: vectors without clusters need that many for a recall of 0.9
+FIRST = 50  # vectors, times k, in the lists that are probed first
 COLUMN_BLOCKS = 4
 CHUNK, QUERY_BLOCK = 4096, 256
-EPSILON = 2.1  # of the hypothesis test: higher drops fewer
+EPSILON = 1.0  # of the hypothesis test: higher drops fewer
+DENSE = 0.05  # share of candidates above which a block is computed for all of them
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -94,8 +96,9 @@ class Index:
         return self.distances(x).argmin(axis=1)
 
 
-def scan(index: Index, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, blocks: list[np.ndarray], k: int) -> list[tuple]:
-    """(query, rank, id, score): the k best of a chunk for each query of a block."""
+def scan(index: Index, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, blocks: list[np.ndarray], k: int, bounds: np.ndarray) -> list[np.ndarray]:
+    """Query, id and score of the k best of a chunk for each query of a block, among those that
+    reach the query's bound, a score that k others have (-inf: none known)."""
     d = sum(b.shape[1] for b in blocks)
     rotated = index.extend_queries(q)
     parts = [rotated[:, at] for at in index.blocks]
@@ -108,16 +111,25 @@ def scan(index: Index, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.
     for p, b in zip(parts, blocks, strict=True):
         full += ((p[:, None, :] - b[first]) ** 2).sum(axis=2)
     full[np.take_along_axis(own, first, axis=1)] = np.inf
-    limit = full.max(axis=1)  # of n others: the n-th best is at least as near
+    norm = np.sqrt((q * q).sum(axis=1))
+    asked = 2 * index.largest - 2 * bounds * np.sqrt(index.largest) / norm
+    limit = np.minimum(full.max(axis=1), asked + 1e-9 * index.largest)  # n others are at least as near
 
     def passes(distance: np.ndarray, at: np.ndarray, seen: int) -> np.ndarray:
         slack = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < d else 1 + 1e-9
         return distance * (d / seen) <= limit[at] * slack + 1e-9
 
-    seen = blocks[0].shape[1]
-    qi, ci = np.nonzero(passes(partial, np.arange(len(q))[:, None], seen) & ~own)
+    # Block after block: all candidates as one product while many are left, then only those.
+    seen, block, every = blocks[0].shape[1], 1, np.arange(len(q))[:, None]
+    left = passes(partial, every, seen) & ~own
+    while block < len(blocks) and left.mean() > DENSE:
+        p, b = parts[block], blocks[block]
+        partial += (p**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None] - 2 * p @ b.T
+        seen, block = seen + b.shape[1], block + 1
+        left &= passes(partial, every, seen)
+    qi, ci = np.nonzero(left)
     distance = partial[qi, ci]
-    for p, b in zip(parts[1:], blocks[1:], strict=True):
+    for p, b in zip(parts[block:], blocks[block:], strict=True):
         distance = distance + ((p[qi] - b[ci]) ** 2).sum(axis=1)
         seen += b.shape[1]
         keep = passes(distance, qi, seen)
@@ -178,26 +190,17 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
             if not batch.num_rows:
                 continue
             order = np.argsort(m.distances(m.extend_queries(matrix(batch.column(1)))), axis=1, kind="stable")
-            held = np.cumsum(size[order], axis=1)
+            before = np.cumsum(size[order], axis=1) - size[order]
             least = max(1, int(np.ceil(probed * (size > 0).sum())))
             full = np.cumsum(size[order] > 0, axis=1)
-            wanted = (full <= least) | (held - size[order] <= 2 * k)
+            wanted = (full <= least) | (before <= 2 * k)
             qi, at = np.nonzero(wanted & (size[order] > 0))
             take = pa.array(qi)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(order[qi, at].astype(np.int32))], names=["query_id", "q", "list"])
+            first = pa.array(before[qi, at] < FIRST * k)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(order[qi, at].astype(np.int32)), first], names=["query_id", "q", "list", "first"])
 
-    asked = rows.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("q")).mapInArrow(probes, "query_id long, q binary, list int")
-    asked = staged(asked, "ann-probes")
-    loads = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}  # at most MAX_LISTS
-    if not loads:
-        return spark.createDataFrame([], result)
-    shape = [(i, -(-n // QUERY_BLOCK), -(-sizes[i] // CHUNK)) for i, n in loads.items()]
-    blocks = F.broadcast(spark.createDataFrame(shape, "list int, blocks long, chunks long"))
-    block = F.pmod(F.xxhash64("query_id", "q"), "blocks")
-    grouped = (
-        asked.join(blocks, "list").groupBy("list", "chunks", block.alias("block")).agg(F.collect_list(F.struct("query_id", "q")).alias("queries"))
-        .select("list", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"))
-    )
+    asked = rows.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("q"))
+    asked = staged(asked.mapInArrow(probes, "query_id long, q binary, list int, first boolean"), "ann-probes")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = index.value
@@ -207,9 +210,28 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
                 ids = np.frombuffer(batch.column(1)[i].as_py(), "<i8")
                 v = np.frombuffer(batch.column(2)[i].as_py(), "<f8").reshape(len(ids), -1)
                 columns = [np.frombuffer(b, "<f8").reshape(len(ids), -1) for b in batch.column(3)[i].as_py()]
-                found = scan(m, asked.field("query_id").to_numpy(zero_copy_only=False), matrix(asked.field("q")), ids, v, columns, k)
+                q_ids, bounds = (asked.field(c).to_numpy(zero_copy_only=False) for c in ("query_id", "bound"))
+                found = scan(m, q_ids, matrix(asked.field("q")), ids, v, columns, k, bounds)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
-    found = grouped.join(stored, ["list", "part"]).select("queries", "ids", "vecs", "blocks").mapInArrow(find, "query_id long, vec_id long, score double")
+    def probe(queries: DataFrame) -> DataFrame:
+        """The best of every probed chunk, for queries (query_id, q, list, bound)."""
+        loads = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}  # at most MAX_LISTS
+        shape = [(i, -(-n // QUERY_BLOCK), -(-sizes[i] // CHUNK)) for i, n in loads.items()]
+        blocks = F.broadcast(spark.createDataFrame(shape, "list int, blocks long, chunks long"))
+        block = F.pmod(F.xxhash64("query_id", "q"), "blocks")
+        grouped = (
+            queries.join(blocks, "list").groupBy("list", "chunks", block.alias("block")).agg(F.collect_list(F.struct("query_id", "q", "bound")).alias("queries"))
+            .select("list", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"))
+        )
+        return grouped.join(stored, ["list", "part"]).select("queries", "ids", "vecs", "blocks").mapInArrow(find, "query_id long, vec_id long, score double")
+
+    # The nearest lists first: their k-th score bounds what the others need to reach.
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(best)
+    near = probe(asked.where("first").withColumn("bound", F.lit(float("-inf"))))
+    near = staged(near.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"), "ann-first")
+    bounds = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(float("-inf")).alias("bound"))
+    rest = staged(asked.where("not first").join(bounds, "query_id", "left").na.fill({"bound": float("-inf")}), "ann-rest")
+    found = near.unionByName(probe(rest))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
