@@ -37,6 +37,9 @@ HEADLINE = [
     "metric_multiclass",
     "threshold_curve",
     "area_under_curves",
+    "threshold_curve_dense",
+    "normalized_features",
+    "cv_lr",
 ]
 
 
