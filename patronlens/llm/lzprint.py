@@ -112,7 +112,9 @@ def compare_with_next(docs: DataFrame, partitions: int | None = None) -> DataFra
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     runs = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted(set(rows.select("doc_id").approxQuantile("doc_id", [i / runs for i in range(1, runs)], 0.1 / runs)))
+    shares = [i / runs for i in range(1, runs)] or [0.5]
+    found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * runs)).alias("cuts")).first()["cuts"]
+    cuts = sorted(set(found or [])) if runs > 1 else []
     above = F.size(F.filter(F.array(*(F.lit(int(c)) for c in cuts)), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0)
     part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(above).cast("int")
     placed = rows.withColumn("part", part)
