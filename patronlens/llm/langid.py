@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronlens.llm.common import small_batches
+
 FIT_ROWS = 2000
 UNDETERMINED = "und"
 PAD = 3  # empty bytes ahead of each text, so that every byte has a context
@@ -48,6 +50,7 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 def count_grams(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """(lang, gram, n) over a bounded sample of rows (doc_id, text, lang)."""
+    small_batches(labelled.sparkSession)
     labelled = labelled.where("text is not null and lang is not null")
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
     draw = F.crc32(F.concat(F.lit("fit:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import numbered
+from patronlens.llm.common import numbered, small_batches
 
 MAGIC = b"WVMX1\0"
 BLOCK = 512
@@ -155,7 +155,7 @@ class Encoder:
     """Ids of whole texts as the tokenizer gives them; repeated words are encoded once, within a
     bounded memory."""
 
-    def __init__(self, path: str, words: int = 600_000):
+    def __init__(self, path: str, words: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -182,14 +182,14 @@ class Encoder:
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
             for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[u] = np.array(e.ids, np.uint32)
-        known, last = self.known, np.array([end], np.uint32)
+                self.known[u] = np.array(e.ids, "<u4").tobytes()
+        known, last = self.known, np.array([end], "<u4").tobytes()
         out = []
         for t, units in zip(texts, split, strict=True):
             if units is None:
                 out.append(np.array([*self.tokenizer.encode(t, add_special_tokens=False).ids, end], np.uint32))
             else:
-                out.append(np.concatenate([*map(known.__getitem__, units), last]))
+                out.append(np.frombuffer(b"".join([*map(known.__getitem__, units), last]), "<u4"))
         return out
 
 
@@ -201,6 +201,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
 
     One range shuffle of the texts by doc_id; tasks encode and pack their own runs of documents.
     """
+    small_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
 
@@ -216,8 +217,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 128):
+                some = batch.slice(at, 128)
                 ids = encoder.encode(some.column(1).to_pylist(), end)
                 for key, one in zip(some.column(0).to_pylist(), ids, strict=True):
                     keys.append(NO_ID if key is None else key)
@@ -234,6 +235,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read from the shard files."""
+    small_batches(spark)
     files = spark.read.schema(SHARDS).parquet(path)
     starts = numbered(files.select("part", "seq", "tokens"), None, ["part", "seq"], ["tokens"], "wavelet-starts")
 
