@@ -17,6 +17,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -155,7 +156,7 @@ class Encoder:
     """Ids of whole texts as the tokenizer gives them; repeated words are encoded once, within a
     bounded memory."""
 
-    def __init__(self, path: str, words: int = 250_000):
+    def __init__(self, path: str, words: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -163,13 +164,13 @@ class Encoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.levels = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.words, self.known = words, {}
+        self.words, self.known, self.older = words, {}, {}
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split: list[list[str] | None] = []
         new: dict[str, None] = {}
-        if len(self.known) > self.words:
-            self.known.clear()
+        if len(self.known) > self.words:  # words not met again since then are forgotten
+            self.known, self.older = {}, self.known
         for t in texts:
             if WIDE.search(t) or any(s in t for s in self.special):
                 split.append(None)
@@ -178,7 +179,9 @@ class Encoder:
             split.append(units)
             if units:
                 new.update(dict.fromkeys(u for u in units if u not in self.known))
-        fresh = list(new)
+        older = self.older
+        self.known.update({u: older[u] for u in new if u in older})
+        fresh = [u for u in new if u not in older]
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
             for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -193,6 +196,12 @@ class Encoder:
         return out
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker: what it remembers serves the worker's later tasks too."""
+    return Encoder(path)
+
+
 SHARDS = "part int, seq int, docs int, tokens long, body binary"
 
 
@@ -206,11 +215,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        tokens, part, seq = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         keys, parts, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            body = to_file(np.concatenate(parts), keys, [len(p) for p in parts], encoder.levels)
+            body = to_file(np.concatenate(parts), keys, [len(p) for p in parts], tokens.levels)
             return pa.RecordBatch.from_pydict(
                 {"part": [part], "seq": [seq], "docs": [len(keys)], "tokens": [held], "body": [body]},
                 schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("docs", pa.int32()), ("tokens", pa.int64()), ("body", pa.binary())]),
@@ -219,7 +228,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 some = batch.slice(at, 128)
-                ids = encoder.encode(some.column(1).to_pylist(), end)
+                ids = tokens.encode(some.column(1).to_pylist(), end)
                 for key, one in zip(some.column(0).to_pylist(), ids, strict=True):
                     keys.append(NO_ID if key is None else key)
                     parts.append(one)
