@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from patronlens.plans.tables import staged
 
 U64 = np.uint64
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,8 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def small_batches(spark: SparkSession, size: str = "16m") -> None:
-    """Bound the bytes, not only the rows, of the batches that Python tasks read; a smaller bound
-    that the session has stays."""
+    """Bound the bytes, not only the rows, of the batches that Python tasks read (a smaller bound
+    that the session has stays), and let Python workers find this package where it lies on the
+    driver's path only."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     option = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(option, "67108864b").rstrip("b") in ("67108864", "64m", "-1"):  # as Spark ships it
         spark.conf.set(option, size)
@@ -50,6 +56,7 @@ def numbered(df: DataFrame, group: str | None, order: list[str], sums: list[str]
     groups are a group of their own.
     """
     spark = df.sparkSession
+    small_batches(spark)
     keys = [group] if group else []
     ordered = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     added = [T.StructField("row", T.LongType()), *(T.StructField(f"before_{c}", T.LongType()) for c in sums)]
