@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from patronlens.plans.tables import staged
 
 U64 = np.uint64
+WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -25,11 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def small_batches(spark: SparkSession, size: str = "16m") -> None:
     """Bound the bytes, not only the rows, of the batches that Python tasks read (a smaller bound
-    that the session has stays), and let Python workers find this package where it lies on the
-    driver's path only."""
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    that the session has stays), let Python workers give memory back that they no longer use, and
+    let them find this package where it lies on the driver's path only."""
+    workers = spark.sparkContext.environment
+    for name, value in WORKERS.items():
+        workers.setdefault(name, value)
+    paths = workers.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        workers["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     option = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(option, "67108864b").rstrip("b") in ("67108864", "64m", "-1"):  # as Spark ships it
         spark.conf.set(option, size)
