@@ -1,11 +1,18 @@
 """Approximate nearest neighbours by adaptive dimension scan.
 
 Vectors are extended by one component so that the largest inner product is the smallest distance,
-rotated by a random orthogonal matrix, and kept in lists around centroids, in chunks of bounded
-size whose components lie in column blocks. A query probes the lists nearest to it, the very
-nearest first: the k-th score found there bounds the search of the others. In a probed chunk distances are summed block by block; after each block a hypothesis test drops the candidates
-whose partial distance, scaled up, is too far above the best found so far. What survives all blocks
-is scored exactly, in double precision, on the original vectors.
+and kept in lists around centroids, in chunks of bounded size. In a chunk they are rotated by a
+random orthogonal matrix, and their components lie in column blocks. A query probes the lists
+nearest to it, the very nearest first: the k-th score found there bounds the search of the others.
+In a probed chunk distances are summed block by block; after each block a hypothesis test drops the
+candidates whose partial distance, scaled up, is too far above the best found so far. What survives
+all blocks is scored exactly, in double precision, on the original vectors.
+
+The extension stays out of the blocks: the longest vector sets it for all others, and as a part
+common to all candidates it would make the test one of the query. Squared lengths are known, so the
+test compares the distance to the query, which is scaled to the chunk's median length, with a limit
+of the candidate's own. The candidates that set the limit stay whatever the test says: a chunk
+yields ``k`` rows if it has ``k`` other vectors and no bound rules them out.
 
 Centroids are fitted on a bounded sample (about ``fit_rows`` vectors by a hash of the id); every
 vector is indexed. Lists of any size are split into chunks, and queries of a list into blocks, so
@@ -65,12 +72,12 @@ def matrix(column) -> np.ndarray:
 
 
 class Index:
-    """Rotation, centroids and the extension that turns inner products into distances."""
+    """Centroids, rotation and the extension that turns inner products into distances."""
 
     def __init__(self, sample: np.ndarray, largest: float, lists: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.largest = largest
-        d = sample.shape[1] + 1
+        d = sample.shape[1]
         self.rotation, _ = np.linalg.qr(rng.normal(size=(d, d)))
         x = self.extend(sample)
         self.centroids = x[rng.choice(len(x), min(lists, len(x)), replace=False)]
@@ -83,12 +90,15 @@ class Index:
 
     def extend(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.largest - (x * x).sum(axis=1), 0.0))
-        return np.concatenate([x, rest[:, None]], axis=1) @ self.rotation
+        return np.concatenate([x, rest[:, None]], axis=1)
 
     def extend_queries(self, x: np.ndarray) -> np.ndarray:
         """Queries have no extension; scaled to the vectors' length, which keeps their order."""
         norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-        return np.concatenate([x / norm * np.sqrt(self.largest), np.zeros((len(x), 1))], axis=1) @ self.rotation
+        return np.concatenate([x / norm * np.sqrt(self.largest), np.zeros((len(x), 1))], axis=1)
+
+    def turn(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.rotation
 
     def distances(self, x: np.ndarray) -> np.ndarray:
         return (self.centroids**2).sum(axis=1) - 2 * x @ self.centroids.T
@@ -101,39 +111,45 @@ def scan(index: Index, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.
     """Query, id and score of the k best of a chunk for each query of a block, among those that
     reach the query's bound, a score that k others have (-inf: none known)."""
     d = sum(b.shape[1] for b in blocks)
-    rotated = index.extend_queries(q)
+    length = sum((b**2).sum(axis=1) for b in blocks)
+    norm = np.sqrt((q * q).sum(axis=1))
+    reach = np.median(length)  # squared length of the scaled queries
+    rotated = index.turn(q / norm[:, None] * np.sqrt(reach))
     parts = [rotated[:, at] for at in index.blocks]
     partial = (parts[0] ** 2).sum(axis=1)[:, None] + (blocks[0] ** 2).sum(axis=1)[None] - 2 * parts[0] @ blocks[0].T
     own = q_ids[:, None] == ids[None]
     partial[own] = np.inf
     n = min(k, len(ids))
-    first = np.argpartition(partial, n - 1, axis=1)[:, :n]
+    first = np.argpartition(partial * (d / blocks[0].shape[1]) - length, n - 1, axis=1)[:, :n]
     full = np.zeros(first.shape)
     for p, b in zip(parts, blocks, strict=True):
         full += ((p[:, None, :] - b[first]) ** 2).sum(axis=2)
+    full -= length[first]  # less its own squared length, a distance falls as the inner product grows
     full[np.take_along_axis(own, first, axis=1)] = np.inf
-    norm = np.sqrt((q * q).sum(axis=1))
-    asked = 2 * index.largest - 2 * bounds * np.sqrt(index.largest) / norm
-    limit = np.minimum(full.max(axis=1), asked + 1e-9 * index.largest)  # n others are at least as near
+    asked = reach - 2 * bounds * np.sqrt(reach) / norm
+    limit = np.minimum(full.max(axis=1), asked)  # n others are at least as near
+    near = np.isfinite(full) & (full <= asked[:, None] + 1e-9 * (reach + length[first]))
+    sure = np.zeros(own.shape, bool)  # known in full: no test may drop them
+    np.put_along_axis(sure, first, near, axis=1)
 
-    def passes(distance: np.ndarray, at: np.ndarray, seen: int) -> np.ndarray:
+    def passes(distance: np.ndarray, at: np.ndarray, to: np.ndarray, seen: int) -> np.ndarray:
         slack = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < d else 1 + 1e-9
-        return distance * (d / seen) <= limit[at] * slack + 1e-9
+        return (distance * (d / seen) <= (limit[at] + length[to]) * slack + 1e-9 * (reach + length[to])) | sure[at, to]
 
     # Block after block: all candidates as one product while many are left, then only those.
-    seen, block, every = blocks[0].shape[1], 1, np.arange(len(q))[:, None]
-    left = passes(partial, every, seen) & ~own
+    seen, block, every, each = blocks[0].shape[1], 1, np.arange(len(q))[:, None], np.arange(len(ids))[None]
+    left = passes(partial, every, each, seen) & ~own
     while block < len(blocks) and left.mean() > DENSE:
         p, b = parts[block], blocks[block]
         partial += (p**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None] - 2 * p @ b.T
         seen, block = seen + b.shape[1], block + 1
-        left &= passes(partial, every, seen)
+        left &= passes(partial, every, each, seen)
     qi, ci = np.nonzero(left)
     distance = partial[qi, ci]
     for p, b in zip(parts[block:], blocks[block:], strict=True):
         distance = distance + ((p[qi] - b[ci]) ** 2).sum(axis=1)
         seen += b.shape[1]
-        keep = passes(distance, qi, seen)
+        keep = passes(distance, qi, ci, seen)
         qi, ci, distance = qi[keep], ci[keep], distance[keep]
     score = (q[qi] * v[ci]).sum(axis=1)
     order = np.lexsort((ids[ci], -score, qi))
@@ -176,7 +192,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
             for i in range(batch.num_rows):
                 rows = batch.column(2)[i].values
                 vec = matrix(rows.field("vec"))
-                rotated = m.extend(vec)
+                rotated = m.turn(vec)
                 ids = rows.field("vec_id").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([ids.astype("<i8").tobytes()], pa.binary()),

@@ -70,6 +70,26 @@ def test_a_common_vector_is_split_into_chunks(spark, monkeypatch):
         assert [(r.vec_id, pytest.approx(r.score)) for r in got.where(F.col("query_id") == q).orderBy("rank").collect()] == brute_nearest(dict(rows), q, 20)
 
 
+def test_one_long_vector_leaves_every_query_k_rows(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2001, 64))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x[2000] *= 10
+    vectors = dict(enumerate(x.tolist()))
+    got: dict[int, set] = {}
+    for r in annscan.search(spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert {q: len(found) for q, found in got.items()} == {q: 20 for q in range(0, 2001, 20)}
+    assert np.mean([len(found & {i for i, _ in brute_nearest(vectors, q, 20)}) / 20 for q, found in got.items()]) >= 0.85
+
+
+def test_few_vectors_are_all_found(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(18, 64)) * np.exp(rng.normal(size=(18, 1)))
+    got = annscan.search(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>"), F.col("vec_id") >= 0, k=20)
+    assert {r.query_id: r["count"] for r in got.groupBy("query_id").count().collect()} == {q: 17 for q in range(18)}
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 
