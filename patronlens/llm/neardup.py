@@ -8,8 +8,10 @@ bucket; candidates are verified by the exact weighted Jaccard similarity of thei
 
 Rarity is 1 + ln((N + 1) / (df + 1)) / ln(N + 1), from 1 for a shingle of every document to 2:
 the scale keeps large groups of copies, which make their own shingles frequent, above the
-threshold. Document frequencies are counted over all documents in 2**df_bits cells of the
-shingle hash: a table of fixed size, which is broadcast.
+threshold. Document frequencies are counted per 64-bit shingle hash over all documents. Texts are
+packed in blocks; a block sends the distinct hashes it holds, once each, to slices of the hash range,
+and gets its frequencies back in the same order, so a common shingle costs a hash a block. The
+frequencies of a text's shingles are kept beside it for the exact check.
 
 Within a bucket all texts are compared with one of them, drawn anew in each bucket and round, unless
 the links found so far connect the two already: a group of n near copies costs n comparisons a
@@ -24,6 +26,8 @@ set of verified links; its id is the smallest doc_id in it.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +42,11 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 DF_BITS = 20
-SLICES = 256
+SLICES = 256  # at least; so many of the hash range that one holds the shingles of about SLICE_CHARS
+SLICE_CHARS = 1 << 23
 TABLE_BITS = 14  # variates per sample; a shingle picks its own by hash
 CHUNK = 1 << 20
+PACK = 1 << 22  # characters of a block of texts
 BLOCK = 128
 LEAD_ROUNDS = 4
 SLACK = 0.2  # a signature rules a pair out when it agrees this far below the threshold (almost 4 sigma)
@@ -77,13 +83,12 @@ def shingles(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarra
     return owner[at], h[at], np.diff(np.append(at, len(h)))
 
 
-def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list]]:
-    """Runs of rows whose texts are about CHUNK characters together."""
-    texts = batch.column(column).to_pylist()
+def runs(texts: list[str | None], most: int = CHUNK) -> Iterator[tuple[int, int, list]]:
+    """Runs of texts that are about ``most`` characters together."""
     first = size = 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= CHUNK:
+        if size >= most:
             yield first, i + 1, texts[first : i + 1]
             first, size = i + 1, 0
     if first < len(texts):
@@ -91,14 +96,17 @@ def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list]
 
 
 def document_frequencies(docs: DataFrame, words: int, df_bits: int) -> np.ndarray:
-    """Documents per cell of the shingle hash: each task counts its own, cells are summed by slice."""
+    """Documents per cell of the shingle hash: each task counts its own, cells are summed by slice.
+
+    Shingles of one cell are one here, so this is for inputs with far fewer shingles than cells;
+    ``near_duplicates`` counts them apart (``counted``)."""
     cells = 1 << df_bits
     width = max(cells // SLICES, 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for batch in batches:
-            for _, _, texts in chunks(batch, 0):
+            for _, _, texts in runs(batch.column(0).to_pylist()):
                 owner, h, _ = shingles(texts, words)
                 cell = (h >> U64(64 - df_bits)).astype(np.int64)
                 total += np.bincount(np.unique(owner << df_bits | cell) & (cells - 1), minlength=cells)
@@ -121,33 +129,104 @@ def document_frequencies(docs: DataFrame, words: int, df_bits: int) -> np.ndarra
     return out
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """Rows with a text in blocks of about PACK characters: (block, n, chars, doc_ids, keys, texts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in runs(batch.column(2).to_pylist(), PACK):
+                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(c).slice(lo, hi - lo)) for c in range(3)]
+                head = [pa.array([uuid.uuid4().hex]), pa.array([hi - lo]), pa.array([sum(map(len, texts))])]
+                yield pa.RecordBatch.from_arrays([*head, *lists], names=["block", "n", "chars", "doc_ids", "keys", "texts"])
+
+    rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
+    return rows.mapInArrow(run, "block string, n long, chars long, doc_ids array<long>, keys array<string>, texts array<string>")
+
+
+def block_shingles(texts: list[str], words: int) -> tuple[list, np.ndarray, np.ndarray]:
+    """Bags of a block's runs (first row, end, owner, hash, count), its distinct hashes in order,
+    and how many of its texts have each."""
+    bags = [(lo, hi, *shingles(some, words)) for lo, hi, some in runs(texts)]
+    h, n = np.unique(np.concatenate([b[3] for b in bags] or [np.zeros(0, U64)]), return_counts=True)
+    return bags, h, n
+
+
+def counted(packed: DataFrame, words: int, slices: int) -> DataFrame:
+    """(block, slice, df): for each block the document frequencies, over all blocks, of its distinct
+    shingle hashes in order."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, h, n = block_shingles(batch.column(1)[i].as_py(), words)
+                at = ((h >> U64(40)) * U64(slices) >> U64(24)).astype(np.int64)
+                cuts = np.searchsorted(at, np.arange(slices + 1))
+                held = np.flatnonzero(np.diff(cuts))
+                # Byte by byte: in order, the high bytes are alike and shrink.
+                columns = [h[cuts[s] : cuts[s + 1]].view(np.uint8).reshape(-1, 8).T.tobytes() for s in held]
+                counts = [n[cuts[s] : cuts[s + 1]].astype("<u4").tobytes() for s in held]
+                block = pa.array([batch.column(0)[i].as_py()] * len(held), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), block, pa.array(columns, pa.binary()), pa.array(counts, pa.binary())], names=["slice", "block", "h", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = batch.column(1)[i].values
+                each = [np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view(U64)[:, 0] for b in rows.field("h").to_pylist()]
+                n = np.frombuffer(b"".join(rows.field("n").to_pylist()), "<u4")
+                h, at = np.unique(np.concatenate(each), return_inverse=True)
+                df = np.bincount(at, weights=n, minlength=len(h)).astype("<u4")[at]
+                ends = np.cumsum([len(x) for x in each])
+                bodies = [zlib.compress(x.tobytes(), 1) for x in np.split(df, ends[:-1])]
+                yield pa.RecordBatch.from_arrays([rows.field("block"), pa.array([batch.column(0)[i].as_py()] * len(each), pa.int32()), pa.array(bodies, pa.binary())], names=["block", "slice", "df"])
+
+    sent = packed.select("block", "texts").mapInArrow(send, "slice int, block string, h binary, n binary")
+    return sent.groupBy("slice").agg(F.collect_list(F.struct("block", "h", "n")).alias("rows")).mapInArrow(add, "block string, slice int, df binary")
+
+
+def frequencies(body: bytes | None) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(body), "<u4") if body else np.zeros(0, "<u4")
+
+
 class Sampler:
     """Weights, signatures and bands of texts."""
 
-    def __init__(self, df: np.ndarray, documents: int, words: int, bands: int, rows: int, seed: int = 7):
+    def __init__(self, df: np.ndarray | None, documents: int, words: int, bands: int, rows: int, seed: int = 7):
+        """``df``: documents per cell of the shingle hash, for texts that come without frequencies."""
         self.words, self.bands, self.rows = words, bands, rows
-        self.df_bits = int(len(df)).bit_length() - 1
-        self.rarity = 1.0 + np.log((documents + 1) / (np.minimum(df, documents) + 1)) / np.log(documents + 1.0) if documents else np.ones(len(df))
-        self.log_rarity = np.log(self.rarity)
+        self.df, self.documents = df, documents
         rng = np.random.default_rng(seed)
         m, k = bands * rows, 1 << TABLE_BITS
         gamma = lambda: -np.log(rng.random((m, k))) - np.log(rng.random((m, k)))
         self.r, self.log_c, self.beta = gamma(), np.log(gamma()), rng.random((m, k))
         self.odd = rng.integers(0, 1 << 63, m, dtype=U64) * U64(2) + U64(1)
 
-    def weighted(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rarity(self, df: np.ndarray) -> np.ndarray:
+        if not self.documents:
+            return np.ones(len(df))
+        return 1.0 + np.log((self.documents + 1) / (np.minimum(df, self.documents) + 1.0)) / np.log(self.documents + 1.0)
+
+    def of_cells(self, h: np.ndarray) -> np.ndarray:
+        bits = int(len(self.df)).bit_length() - 1
+        return self.df[(h >> U64(64 - bits)).astype(np.int64)]
+
+    def weighted(self, texts: list[str | None], df: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text numbers, hashes and weights; ``df`` has the document frequencies in that order."""
         owner, h, n = shingles(texts, self.words)
-        return owner, h, n * self.rarity[(h >> U64(64 - self.df_bits)).astype(np.int64)]
+        return owner, h, n * self.rarity(self.of_cells(h) if df is None else df)
 
     def sign(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(texts, samples) signatures and the number of distinct shingles; zeros without words."""
         owner, h, n = shingles(texts, self.words)
+        return self.sign_bags(len(texts), owner, h, n, self.of_cells(h))
+
+    def sign_bags(self, texts: int, owner: np.ndarray, h: np.ndarray, n: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = self.bands * self.rows
-        out = np.zeros((len(texts), m), U64)
-        count = np.bincount(owner, minlength=len(texts))
+        out = np.zeros((texts, m), U64)
+        count = np.bincount(owner, minlength=texts)
         if not len(h):
             return out, count
-        log_s = np.log(n) + self.log_rarity[(h >> U64(64 - self.df_bits)).astype(np.int64)]
+        log_s = np.log(n) + np.log(self.rarity(df))
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         size = np.diff(np.append(first, len(h)))
         rows = owner[first]
@@ -185,24 +264,35 @@ def text_key():
     return F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32)
 
 
-def signed_texts(docs: DataFrame, sampler) -> DataFrame:
-    """(doc_id, key, signature, bands) of every row with a text."""
+def signed_texts(packed: DataFrame, dfs: DataFrame, sampler) -> DataFrame:
+    """(doc_id, key, signature, bands, df) of every row with a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sampler.value
         for batch in batches:
-            for lo, hi, texts in chunks(batch, 2):
-                signature, count = s.sign(texts)
-                keys = s.band_keys(signature)
-                short = signature.astype("<u4")
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                    pa.array([x.tobytes() if n else None for x, n in zip(short, count, strict=True)], pa.binary()),
-                    pa.array([k if n else [] for k, n in zip(keys.tolist(), count.tolist(), strict=True)], pa.list_(pa.int64())),
-                ], names=["doc_id", "key", "signature", "bands"])
-
-    rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
-    return rows.mapInArrow(run, "doc_id long, key string, signature binary, bands array<long>")
+            for i in range(batch.num_rows):
+                ids, keys, texts = (batch.column(c)[i].values for c in range(3))
+                bags, every, _ = block_shingles(texts.to_pylist(), s.words)
+                parts = sorted(batch.column(3)[i].as_py() or [], key=lambda x: x["slice"])
+                of_every = np.concatenate([frequencies(x["df"]) for x in parts] or [frequencies(None)])
+                if len(of_every) != len(every):
+                    raise ValueError("document frequencies do not fit their block")
+                for lo, hi, owner, h, n in bags:
+                    df = of_every[np.searchsorted(every, h)]
+                    signature, count = s.sign_bags(hi - lo, owner, h, n, df)
+                    band_keys = s.band_keys(signature)
+                    short = signature.astype("<u4")
+                    own = np.split(df, np.cumsum(count)[:-1])
+                    yield pa.RecordBatch.from_arrays([
+                        ids.slice(lo, hi - lo), keys.slice(lo, hi - lo),
+                        pa.array([x.tobytes() if c else None for x, c in zip(short, count, strict=True)], pa.binary()),
+                        pa.array([k if c else [] for k, c in zip(band_keys.tolist(), count.tolist(), strict=True)], pa.list_(pa.int64())),
+                        pa.array([zlib.compress(x.tobytes(), 1) for x in own], pa.binary()),
+                    ], names=["doc_id", "key", "signature", "bands", "df"])
+
+    by_block = dfs.groupBy("block").agg(F.collect_list(F.struct("slice", "df")).alias("dfs"))
+    rows = packed.join(by_block, "block", "left").select("doc_ids", "keys", "texts", "dfs")
+    return rows.mapInArrow(run, "doc_id long, key string, signature binary, bands array<long>, df binary")
 
 
 def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -236,9 +326,9 @@ def verified(pairs: DataFrame, texts: DataFrame, sampler, threshold: float) -> D
     Both joins are plain shuffles, so the many pairs of one hot text can be split over tasks.
     """
     both = (
-        pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
+        pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"), F.col("df").alias("df_b")), "b")
+        .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"), F.col("df").alias("df_a")), "a")
+        .select("a", "b", "text_a", "text_b", "df_a", "df_b")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +336,10 @@ def verified(pairs: DataFrame, texts: DataFrame, sampler, threshold: float) -> D
         last, bag_a = None, None
         for batch in batches:
             yes = []
-            for a, ta, tb in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+            for a, ta, tb, da, db in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), strict=True):
                 if a != last:
-                    last, bag_a = a, s.weighted([ta])[1:]
-                yes.append(s.similarity(bag_a, s.weighted([tb])[1:]) >= threshold)
+                    last, bag_a = a, s.weighted([ta], frequencies(da))[1:]
+                yes.append(s.similarity(bag_a, s.weighted([tb], frequencies(db))[1:]) >= threshold)
             keep = pa.array(yes, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
@@ -305,33 +395,34 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, df_bits: int = DF_BITS
+    docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """doc_id, text key, class (its smallest key and its smallest doc_id) and links of every row of
     docs (doc_id, text)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
-    df = document_frequencies(docs, words, df_bits)
-    documents = docs.where("text is not null").count()
-    sampler = spark.sparkContext.broadcast(Sampler(df, documents, words, bands, rows))
+    packed = staged(packed_texts(docs), "near-packed")
+    documents, chars = packed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    sampler = spark.sparkContext.broadcast(Sampler(None, documents, words, bands, rows))
+    dfs = staged(counted(packed, words, max(SLICES, -(-chars // SLICE_CHARS))), "near-frequencies")
 
-    signed = staged(signed_texts(docs, sampler), "near-signed")
+    signed = staged(signed_texts(packed, dfs, sampler), "near-signed")
     # First of equal texts: signatures are equal too.
     distinct = staged(
-        signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature"), F.min("bands").alias("bands")), "near-texts"
+        signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature"), F.min("bands").alias("bands"), F.min("df").alias("df")), "near-texts"
     )
     banded = distinct.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     members = staged(banded.join(shared, "band").select("band", "key"), "near-members")
 
     wanted = members.select("key").distinct()
-    signatures = staged(distinct.join(wanted, "key").select("key", "first_id", "signature"), "near-signatures")
+    signatures = staged(distinct.join(wanted, "key").select("key", "first_id", "signature", "df"), "near-signatures")
     firsts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("first_id"), text_key().alias("key"), "text")
-    one = signatures.select(F.col("key").alias("k"), F.col("first_id").alias("f"))
+    one = signatures.select(F.col("key").alias("k"), F.col("first_id").alias("f"), "df")
     # On both columns: the copies of a common text differ in their ids and spread out.
     first = firsts.join(one, (F.col("key") == F.col("k")) & F.col("first_id").eqNullSafe(F.col("f")))
-    texts = staged(first.select("key", "text").dropDuplicates(["key"]), "near-read")
+    texts = staged(first.select("key", "text", "df").dropDuplicates(["key"]), "near-read")
     signatures = signatures.select("key", "signature")
 
     least = int(np.ceil((threshold - SLACK) * bands * rows))

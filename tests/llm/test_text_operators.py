@@ -297,6 +297,45 @@ def test_near_duplicates_as_all_pairs(spark):
     assert got == expected_classes(rows, df, sum(t is not None for t in texts))
 
 
+def test_document_frequencies_are_those_of_each_shingle(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PACK", 3000)
+    monkeypatch.setattr(neardup, "CHUNK", 1000)
+    rng = random.Random(6)
+    # Texts of rare shingles, so many that their hashes crowd any table of a fixed size, and pairs around the threshold.
+    many = [" ".join(f"r{i}x{j}" for j in range(4000)) for i in range(60)]
+    base = [f"p{i}" for i in range(92)]
+    common = [[f"c{k}{i}" for i in range(14)] for k in range(2)]
+    pair = [" ".join(base + c) for c in common]
+    fill = [" ".join(c + [f"f{n}"]) for n in range(20) for c in common]
+    rows = list(enumerate([*many, *pair, *fill, *ODD, *(" ".join(rng.choices("abcde", k=40)) for _ in range(20))]))
+    docs = spark.createDataFrame(rows, DOCS)
+    exact: dict[int, int] = {}
+    for _, t in rows:
+        for h in neardup.shingles([t], neardup.WORDS)[1].tolist():
+            exact[h] = exact.get(h, 0) + 1
+    documents = sum(t is not None for _, t in rows)
+    packed = neardup.staged(neardup.packed_texts(docs), "packed")
+    dfs = neardup.staged(neardup.counted(packed, neardup.WORDS, 7), "frequencies")
+    sampler = spark.sparkContext.broadcast(neardup.Sampler(None, documents, neardup.WORDS, neardup.BANDS, neardup.ROWS))
+    got = {r.doc_id: r for r in neardup.signed_texts(packed, dfs, sampler).collect()}
+    assert packed.count() > 10 and len(got) == documents
+    bags = {}
+    for d, t in rows:
+        if t is not None:
+            _, h, n = neardup.shingles([t], neardup.WORDS)
+            df = neardup.frequencies(got[d].df)
+            assert df.tolist() == [exact[x] for x in h.tolist()]
+            bags[d] = {x: c * (1 + math.log((documents + 1) / (exact[x] + 1)) / math.log(documents + 1)) for x, c in zip(h.tolist(), n.tolist(), strict=True)}
+    a, b = bags[60], bags[61]
+    both = sum(min(w, b[x]) for x, w in a.items() if x in b)
+    true = both / (sum(a.values()) + sum(b.values()) - both)
+    x, y = (sampler.value.weighted([rows[i][1]], neardup.frequencies(got[i].df))[1:] for i in (60, 61))
+    assert sampler.value.similarity(x, y) == pytest.approx(true)
+    cells = neardup.Sampler(neardup.document_frequencies(docs, neardup.WORDS, neardup.DF_BITS), documents, neardup.WORDS, neardup.BANDS, neardup.ROWS)
+    by_cells = cells.similarity(*(cells.weighted([rows[i][1]])[1:] for i in (60, 61)))
+    assert by_cells != pytest.approx(true)  # as it was
+
+
 def test_no_documents_and_no_ids(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     text = "one two three four five six"
