@@ -3,8 +3,9 @@
 A token is seen as the output of a noisy channel: letters replaced by look-alikes (leetspeak),
 repeated, or set apart by spaces and marks. Its lattice holds, for every place, the letters that
 may have been meant with the cost of that disguise; Viterbi decoding finds the cheapest reading
-under a letter trigram model counted over all documents. A token without a look-alike among
-letters, a run of three, or single letters set apart has one path only and needs no decoding.
+under a letter trigram model counted over all documents. Decoded are tokens with a doubled letter,
+with a look-alike beside a letter or another look-alike, or with marks between letters, and single
+letters or look-alikes set apart, with at least one letter among them. Any other token has one path only.
 
 Restored words (and their beginnings, which inflected and compounded words share) are the features
 of a logistic regression, fitted on a bounded sample of labelled rows: about ``fit_rows`` whole
@@ -45,12 +46,17 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y",
 }
 COST_LOOKALIKE, COST_KEPT, COST_RUN, COST_GAP, COST_BREAK = 1.0, 10.0, 1.0, 0.5, 3.0
+COST_DOUBLED = 2.5  # of reading two equal letters as one: more than a run, as words have doubled letters
 
-APART = re.compile(r"(?<!\w)[^\W_](?:[ ._*~-][^\W_]){2,}(?!\w)")
-WORD = re.compile(r"[^\W\d_]+")
-RUN = re.compile(r"([^\W\d_])\1{2,}")
 _LOOK = "".join(map(re.escape, LOOKALIKES))
-MIXED = re.compile(rf"[^\W\d_](?:[{_LOOK}]|[*~]+[^\W\d_])|[{_LOOK}][^\W\d_]")
+_ONE = rf"[^\W_{_LOOK}]|[{_LOOK}]"
+_END = rf"[^\w{_LOOK}]"  # what may stand before and after letters set apart
+APART = re.compile(rf"(?:(?<={_END})|^)(?:{_ONE})(?:[ \t._*~-]{{1,4}}(?:{_ONE})){{2,}}(?![\w{_LOOK}])")
+LETTER = re.compile(r"[^\W\d_]")
+WORD = re.compile(r"[^\W\d_]+")
+RUN = re.compile(r"([^\W\d_])\1")
+TWICE = re.compile(r"(.)\1")
+MIXED = re.compile(rf"[^\W\d_](?:[{_LOOK}]|[*~.\-_']+(?:[^\W\d_]|[{_LOOK}]))|[{_LOOK}](?:[^\W\d_{_LOOK}]|[*~.\-_']+[^\W\d_])|[{_LOOK}]{{2}}")
 TRIM = "\"'.,;:?)]}[{<>#%&*-_~`\\/"
 
 
@@ -100,8 +106,9 @@ class Letters:
         return "".join(reversed(out)).strip()
 
 
-def lattice(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
-    """What each place of a token may stand for, with the cost of the disguise."""
+def lattice(token: str, apart: bool = False, doubled: bool = False) -> list[list[tuple[str, float]]]:
+    """What each place of a token may stand for, with the cost of the disguise; with
+    ``doubled``, what is written twice is meant twice."""
     places: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(token):
@@ -110,14 +117,21 @@ def lattice(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
         while j < len(token) and token[j] == c:
             j += 1
         if apart and not (c.isalnum() or c in LOOKALIKES):
+            while j < len(token) and not (token[j].isalnum() or token[j] in LOOKALIKES):
+                j += 1  # several separators are one gap
             places.append([("", COST_GAP), (" ", COST_BREAK)])
         elif c in LOOKALIKES:
-            near = (i > 0 and (token[i - 1].isalpha() or token[i - 1] in LOOKALIKES)) or (j < len(token) and token[j].isalpha())
-            read = [(x, COST_LOOKALIKE) for x in LOOKALIKES[c]] if near else []
-            places.extend([[*read, (" ", COST_KEPT)]] * (j - i))
+            n = j - i
+            read = [(x, COST_LOOKALIKE) for x in LOOKALIKES[c]]
+            if n == 1:
+                places.append([*read, (" ", COST_KEPT)])
+            else:  # one or two letters, which need not be the same ("11" is "il" as well)
+                pairs = [(x + y, 2 * COST_LOOKALIKE) for x in LOOKALIKES[c] for y in LOOKALIKES[c]]
+                less, more = (COST_RUN, COST_RUN + 0.5) if n > 2 else (COST_DOUBLED, 0.0)
+                places.append([*((x, cost + less) for x, cost in read if not (doubled and n == 2)), *((x, cost + more) for x, cost in pairs), (" ", COST_KEPT * n)])
         elif c.isalpha():
             n = j - i
-            places.append([(c, 0.0)] if n == 1 else [(c * n, 0.0)] if n == 2 else [(c, COST_RUN), (c + c, COST_RUN + 0.5)])
+            places.append([(c, 0.0)] if n == 1 else [(c, COST_DOUBLED), (c + c, 0.0)][doubled:] if n == 2 else [(c, COST_RUN), (c + c, COST_RUN + 0.5)])
         elif c in "*.-_~'":  # marks inside a word
             places.append([("", COST_LOOKALIKE), (" ", COST_GAP)])
         else:
@@ -131,19 +145,27 @@ def restore_token(token: str, model: Letters) -> str:
     inner = token.strip(TRIM)
     if RUN.search(inner) or MIXED.search(inner):
         tail = inner.rstrip("!?+(")  # closing marks are punctuation, unless they finish the word
-        best = model.cheapest(lattice(tail))
+        found = [model.cheapest(lattice(tail))]
         if tail != inner and tail and not tail.isalpha():
-            whole = model.cheapest(lattice(inner))
-            return f"{best} {whole}" if whole != best else best
-        return best
+            found.append(model.cheapest(lattice(inner)))
+        if TWICE.search(inner):  # doubled letters are spelling as well: both readings count
+            found.append(model.cheapest(lattice(inner, doubled=True)))
+        if not LETTER.search(inner):  # look-alikes alone may be a number
+            found.append(inner)
+        return " ".join(dict.fromkeys(found))
     return token
 
 
+def set_apart(low: str) -> list[str]:
+    """Stretches of single letters and look-alikes with separators between, at least one a letter."""
+    return [m.group() for m in APART.finditer(low) if LETTER.search(m.group())]
+
+
 def restore(text: str, model: Letters) -> str:
     """A whole text, lower case, with disguised tokens restored."""
     low = text.lower()
     meant = " ".join(restore_token(t, model) for t in low.split())
-    joined = [model.cheapest(lattice(m.group(), apart=True)) for m in APART.finditer(low)]
+    joined = [model.cheapest(lattice(t, apart=True)) for t in set_apart(low)]
     return " ".join([meant, *joined])
 
 
@@ -183,8 +205,8 @@ class Reader:
                 f = self.of_token(t)
             if f:
                 out.update(f)
-        for m in APART.finditer(low):
-            found = word_features(self.model.cheapest(lattice(m.group(), apart=True)))
+        for t in set_apart(low):
+            found = word_features(self.model.cheapest(lattice(t, apart=True)))
             out.update(found if self.index is None else (self.index[f] for f in found if f in self.index))
         return out
 

@@ -204,6 +204,15 @@ def test_restored(letters, given, meant):
     assert meant in toxicity.restore(given, letters).split()
 
 
+@pytest.mark.parametrize(
+    "given, meant",
+    [("iddioott", "idiot"), ("tra$$$$h", "trash"), ("$$$tup!d", "stupid"), ("@$$", "ass"), ("455", "ass"), ("id.iot", "idiot"), ("id-iot", "idiot"),
+     ("you i  d  i  o  t", "idiot"), ("i - d - i - o - t", "idiot"), ("t r @ $ h", "trash"), ("l 0 $ e r", "loser"), ("letter", "letter"), ("100", "100")],
+)
+def test_restored_from_more_disguises(letters, given, meant):
+    assert meant in toxicity.restore(given, letters).split()
+
+
 def test_cheapest_path_is_the_best_of_all(letters):
     import itertools
 
