@@ -52,4 +52,49 @@ SELECT page_id, payload_bytes,
 FROM hashed
 """
 
-ORACLES = {"op3_mix": OP3, "op6_warc": OP6}
+# Masks as bits 1 (A) to 16 (E); every order and step against every mask of the part.
+OP13 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), masked AS (
+  SELECT words.doc_id, part,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM words
+), counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masked LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, b)
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.b | b.b | c.b | d.b | e.b = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS ahead
+  FROM orders, range(1, 6) s(step)
+), found AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (ahead | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & (ahead | bit) = bit THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit = bit AND mask & ahead > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & (ahead | bit) = bit THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & (ahead | bit) = bit THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM found
+"""
+
+ORACLES = {"op3_mix": OP3, "op6_warc": OP6, "op13_filter_audit": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import annscan, bpe, langid, lzprint, mixing, neardup, sharding, toxicity, warc, wavelet
+from patronlens.llm import annscan, bpe, filteraudit, langid, lzprint, mixing, neardup, sharding, toxicity, warc, wavelet
 from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
@@ -87,6 +87,12 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classed.select("doc_id", "class_id", "links")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return filteraudit.audit(filteraudit.mask_counts(docs, labels))
+
+
 QUERIES = {
     "op1_lzprint": op1_lzprint,
     "op2_ann": op2_ann,
@@ -98,6 +104,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_neardup": op10_neardup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 
