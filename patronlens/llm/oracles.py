@@ -52,6 +52,53 @@ SELECT page_id, payload_bytes,
 FROM hashed
 """
 
+# CRC-32 of a number written in decimal, bit by bit.
+CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+# A node is the list of its turns' digests; subtree sums go from every node to the beginnings of the
+# way of its smallest member.
+OP11 = r"""
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, ''))::BIGINT AS chars,
+    sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS r
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, {crc} % 6 AS h, conv_id - conv_id % 100 AS base FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS side, t.r, t.digest, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.r < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.r, t.digest, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.r >= c.h
+), placed AS (
+  SELECT *, row_number() OVER w AS depth, list(digest) OVER w AS key, count(*) OVER (PARTITION BY conv_id) AS len
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY side, r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), way AS (
+  SELECT conv_id, depth, md5(array_to_string(key, ',')) AS key, chars, len FROM placed
+  UNION ALL
+  SELECT conv_id, 0, '', 0, (SELECT count(*) FROM rebuilt b WHERE b.conv_id = c.conv_id) FROM convs c
+), nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len = depth), '') AS ends
+  FROM way GROUP BY depth, key
+), parents AS (
+  SELECT n.depth, n.key, n.conv_id, n.n_convs, n.chars, p.key AS parent_key
+  FROM nodes n LEFT JOIN way p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), families AS (
+  SELECT depth - 1 AS depth, parent_key AS key, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children FROM nodes n LEFT JOIN families f USING (depth, key)
+), subtrees AS (
+  SELECT a.depth, a.key, sum(CASE WHEN o.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((o.n_convs - 1) * o.chars) AS saved_tokens
+  FROM own o JOIN way a ON a.conv_id = o.conv_id AND a.depth <= o.depth GROUP BY a.depth, a.key
+)
+SELECT o.conv_id, o.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, o.n_convs::BIGINT AS n_convs, o.n_children::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own o JOIN parents p USING (depth, key) JOIN subtrees s USING (depth, key)
+LEFT JOIN nodes u ON u.depth = o.depth - 1 AND u.key = p.parent_key
+""".replace("{crc}", CRC.format("conv_id"))
+
 # Masks as bits 1 (A) to 16 (E); every order and step against every mask of the part.
 OP13 = r"""
 WITH words AS (
@@ -97,4 +144,4 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
 FROM found
 """
 
-ORACLES = {"op3_mix": OP3, "op6_warc": OP6, "op13_filter_audit": OP13}
+ORACLES = {"op3_mix": OP3, "op6_warc": OP6, "op11_prefix_trie": OP11, "op13_filter_audit": OP13}
