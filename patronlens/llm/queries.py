@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import annscan, bpe, convtrie, filteraudit, langid, lzprint, mixing, neardup, sharding, toxicity, warc, wavelet
+from patronlens.llm import annscan, bpe, convtrie, filteraudit, langid, lzprint, mincut, mixing, neardup, sharding, toxicity, warc, wavelet
 from patronlens.llm.common import remainder, table
 from patronlens.llm.oracles import ORACLES
 from patronlens.plans.tables import table_path
@@ -91,6 +91,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convtrie.trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), ["page_id", "url"])
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
@@ -109,6 +113,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_neardup": op10_neardup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_main_text": op12_main_text,
     "op13_filter_audit": op13_filter_audit,
 }
 
