@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronlens.functions.numbers import ratio
@@ -140,16 +142,62 @@ def curve_areas(df: DataFrame, score: str, label: str = "label", weight: str | N
     the areas are plain sums. The precision-recall curve starts at recall 0 with the
     precision of the highest score.
     """
+    return threshold_counts(df, score, label, weight).agg(*_areas())
+
+
+def _areas() -> list[Column]:
+    """The two areas as sums over the points of a curve."""
     tp, fp, pos, neg = (F.col(x) for x in ("tp", "fp", "pos", "neg"))
     tp0, fp0 = tp - pos, fp - neg
     precision = ratio(tp, tp + fp)
     precision0 = F.when(tp0 + fp0 > 0, ratio(tp0, tp0 + fp0)).otherwise(precision)
     roc = ratio(neg, F.col("all_neg")) * (ratio(tp, F.col("all_pos")) + ratio(tp0, F.col("all_pos"))) / 2
     pr = ratio(pos, F.col("all_pos")) * (precision + precision0) / 2
-    return threshold_counts(df, score, label, weight).agg(
+    return [
         F.coalesce(F.sum(roc), F.lit(0.0)).alias("area_under_roc"),
         F.coalesce(F.sum(pr), F.lit(0.0)).alias("area_under_pr"),
+    ]
+
+
+def grouped_areas(df: DataFrame, by: Sequence[str], score: str, label: str = "label", weight: str | None = None) -> DataFrame:
+    """Both areas for every group of the columns ``by``, all in one job.
+
+    Scores are reduced to one row each per group and sorted in ranges of (group, score). A range is
+    a task's share, whichever groups it holds, so a group may be as large as it likes; it is summed
+    inside each range, and the ranges above add one number per range and group. Scores that are null
+    or NaN are left out; a group in which only they occur has no row.
+    """
+    by, threshold = list(by), F.col(score).cast("double")
+    positive, n = F.col(label) > 0.5, _rows(weight)
+    counted = staged(
+        df.filter(threshold.isNotNull() & ~F.isnan(threshold)).groupBy(*by, threshold.alias("threshold")).agg(
+            F.sum(F.when(positive, n).otherwise(n * 0)).alias("pos"), F.sum(F.when(~positive, n).otherwise(n * 0)).alias("neg")
+        ),
+        "group_scores",
+    )
+    ranged = staged(counted.repartitionByRange(*by, F.desc("threshold")).withColumn("range", F.spark_partition_id()), "group_ranges")
+    # A row per group and range: as many as there are tasks and groups.
+    above = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*by)
+    totals = (
+        ranged.groupBy(*by, "range")
+        .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+        .select(
+            *by, "range",
+            F.coalesce(F.sum("p").over(above), F.lit(0)).alias("pos_above"),
+            F.coalesce(F.sum("n").over(above), F.lit(0)).alias("neg_above"),
+            F.sum("p").over(everything).alias("all_pos"),
+            F.sum("n").over(everything).alias("all_neg"),
+        )
+    )
+    within = Window.partitionBy(*by, "range").orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = ranged.join(totals, [*by, "range"]).select(
+        *by, "pos", "neg",
+        (F.col("pos_above") + F.sum("pos").over(within)).alias("tp"),
+        (F.col("neg_above") + F.sum("neg").over(within)).alias("fp"),
+        "all_pos", "all_neg",
     )
+    return running.groupBy(*by).agg(*_areas())
 
 
 def hard_auc(

@@ -46,9 +46,11 @@ def table_path(spark: SparkSession, name: str) -> str | None:
     return None if folder is None else f"{folder.rstrip('/')}/patronlens/{_run.get()}{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
+    With ``by``, a folder per value of that column (of few values): a filter on it reads no others.
+
     Several consumers then share one computation, each reading only its columns; a lost
     executor costs a re-read, not a recomputation; and Spark knows the true size of the table
     when it chooses a join. Without a shared folder there is nowhere to put it: an error.
@@ -57,8 +59,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = table_path(spark, name)
     if path is None:
         raise ValueError(f"{name} is staged: set {CHECKPOINT_DIR} to a folder that all executors share")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def staged_together(frames: dict[str, DataFrame]) -> list[DataFrame]:

@@ -1,5 +1,4 @@
 import os
-import warnings
 
 import pytest
 from conftest import SMALL
@@ -104,11 +103,8 @@ def test_staged_tables_use_the_named_folder(spark):
 
 def test_no_shared_folder_on_a_cluster_means_no_table(spark, monkeypatch):
     monkeypatch.setattr(tables, "checkpoint_folder", lambda spark: None)
-    df = spark.range(5)
-    with warnings.catch_warnings(record=True) as caught:
-        warnings.simplefilter("always")
-        assert tables.staged(df, "numbers") is df
-    assert "recomputed" in str(caught[0].message)
+    with pytest.raises(ValueError, match="numbers is staged"):
+        tables.staged(spark.range(5), "numbers")
 
 
 def test_temporary_tables_are_dropped(spark):

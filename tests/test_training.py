@@ -1,5 +1,9 @@
 import pytest
 from conftest import SMALL
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from checks.queries import queries
@@ -23,15 +27,93 @@ def rows(spark):
     return staged(keyed_split(full_features(*inputs(spark, SMALL), CORRECTED)), "test_rows")
 
 
-@pytest.mark.parametrize(("name", "points"), [("rf", 9), ("lr", 9), ("dt", 9), ("gbt", 6)])
-def test_full_grids(spark, name, points):
-    search = training.cross_validator(name)
-    assert len(search.getEstimatorParamMaps()) == points
-    assert search.getNumFolds() == 5
-    assert search.getEvaluator().getMetricName() == "areaUnderROC"
-    grid = [{p.name: v for p, v in point.items()} for point in search.getEstimatorParamMaps()]
+@pytest.mark.parametrize(("name", "points", "fits"), [("rf", 9, 3), ("lr", 9, 3), ("dt", 9, 9), ("gbt", 6, 3)])
+def test_full_grids_in_few_fits(name, points, fits):
+    grid = training.grid_points(name)
+    assert len(grid) == points and training.FOLDS == 5
     for param, values in training.GRIDS[name].items():
         assert {point[param] for point in grid} == set(values)
+    shared = training.distinct_fits(name, grid)
+    assert len(shared) == fits
+    assert sorted(i for _, numbers in shared for i in numbers) == list(range(points))
+
+
+def vectors_of(rows, weight=None, folds=2):
+    kept = ["label", "features", "fold", *([weight] if weight else [])]
+    return staged(training.prepare(with_fold(rows, folds), training.input_columns()).select(*kept), "test_vectors", by="fold")
+
+
+@pytest.mark.parametrize(("name", "size", "model"), [("rf", "numTrees", RandomForestClassificationModel), ("gbt", "maxIter", GBTClassificationModel)])
+def test_beginnings_score_as_models_of_their_trees(rows, name, size, model):
+    vectors = vectors_of(rows)
+    points = [{size: n, "maxDepth": 3} for n in (2, 3, 6)]
+    whole = training.classifier(name, points[-1])._fit_java(vectors)
+    got = training.point_scores(name, whole, points, [0, 1, 2], vectors.select("features")).toPandas()
+    for i, point in enumerate(points):
+        alone = model(training.segments(name, whole, [point[size]])[0]).setFeaturesCol("features")
+        want = alone.transform(vectors).select(vector_to_array("rawPrediction")[1].alias("s")).toPandas()
+        assert got[f"score_{i}"].to_numpy() == pytest.approx(want["s"].to_numpy(), abs=1e-9)
+        assert alone.getNumTrees == point[size] or len(alone.trees) == point[size]
+
+
+def test_short_boosting_is_the_beginning_of_a_long_one(rows):
+    vectors = vectors_of(rows).coalesce(1)
+    points = [{"maxIter": 2, "maxDepth": 3}, {"maxIter": 4, "maxDepth": 3}]
+    shared = training.point_scores("gbt", training.classifier("gbt", points[1])._fit_java(vectors), points, [0], vectors.select("features")).toPandas()
+    alone = training.classifier("gbt", points[0]).fit(vectors).transform(vectors).select(vector_to_array("rawPrediction")[1].alias("s")).toPandas()
+    assert shared["score_0"].to_numpy() == pytest.approx(alone["s"].to_numpy(), abs=1e-9)
+
+
+@pytest.mark.parametrize("name", ["lr", "dt", "gbt"])
+def test_search_agrees_with_cross_validator(rows, name):
+    """The same areas and choice as MLlib's own search, which fits every point anew."""
+    vectors = vectors_of(rows).coalesce(1)
+    classifier = training.classifier(name, {})
+    builder = ParamGridBuilder()
+    for param, values in TINY[name].items():
+        builder = builder.addGrid(classifier.getParam(param), values)
+    evaluator = BinaryClassificationEvaluator(numBins=0)
+    theirs = CrossValidator(estimator=classifier, evaluator=evaluator, estimatorParamMaps=builder.build(), numFolds=2, foldCol="fold").fit(vectors)
+    _, points = training.search(vectors, name, TINY[name], folds=2)
+    got = {tuple(sorted((k, v) for k, v in p.items() if k in TINY[name])): p["area_under_roc"] for p in points}
+    want = {tuple(sorted((k.name, v) for k, v in m.items())): a for m, a in zip(theirs.getEstimatorParamMaps(), theirs.avgMetrics, strict=True)}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_fits_read_the_other_folds_files_only(rows):
+    vectors = vectors_of(rows, folds=5)
+    plan = vectors.where(F.col("fold") != 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fold" in plan and "NOT (fold" in plan
+    assert not any("fold=3" in f for f in vectors.where(F.col("fold") != 3).select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+
+
+def test_the_same_question_is_fitted_once(rows, monkeypatch):
+    train = rows.filter("split = 'train'").repartition(3)
+    first = training.train(train, "dt", {"maxDepth": [2, 3]}, folds=3)
+    monkeypatch.setattr(training, "search", None)
+    again = training.train(train.repartition(5), "dt", {"maxDepth": [2, 3]}, folds=3)
+    assert again.points == first.points
+    assert training.score(first, rows).exceptAll(training.score(again, rows)).count() == 0
+    for other in ({"folds": 2}, {"seed": 3}, {"max_fit_pairs": 50}, {"keep": False}):
+        with pytest.raises(TypeError):
+            training.train(train, "dt", {"maxDepth": [2, 3]}, **{"folds": 3, **other})
+    with pytest.raises(TypeError):
+        training.train(train.union(train.limit(1)), "dt", {"maxDepth": [2, 3]}, folds=3)
+
+
+def test_the_five_queries_end(monkeypatch, spark):
+    """Run as registered, on short grids; the listed pairs are scored by what the others fitted."""
+    monkeypatch.setattr(training, "GRIDS", TINY)
+    monkeypatch.setattr(training, "FOLDS", 2)
+    monkeypatch.setattr(training.train, "__defaults__", (None, 2, *training.train.__defaults__[2:]))
+    for name in ("rf", "lr", "dt", "gbt"):
+        report = queries()[f"cv_{name}"](spark, SMALL).collect()
+        assert len(report) == 14 and {r.model for r in report} == {name}
+    monkeypatch.setattr(training, "search", None)
+    scored = queries()["score_pairs"](spark, SMALL)
+    listed = inputs(spark, SMALL)[1].count()
+    counts = {r.model: r["count"] for r in scored.groupBy("model").count().collect()}
+    assert set(counts) == {"rf", "lr", "dt", "gbt"} and set(counts.values()) == {listed}
 
 
 def test_queries_search_the_full_grids(monkeypatch, spark):
@@ -156,13 +238,12 @@ def test_a_weight_is_so_many_rows(spark):
 def test_fit_bound_is_off_by_default_and_bounds_pairs(rows, monkeypatch):
     seen = []
 
-    class Search:
-        def fit(self, vectors):
-            seen.append(vectors.count())
-            raise InterruptedError
+    def search(vectors, *args):
+        seen.append(vectors.count())
+        raise InterruptedError
 
-    monkeypatch.setattr(training, "cross_validator", lambda *a, **k: Search())
+    monkeypatch.setattr(training, "search", search)
     for bound in (None, 200):
         with pytest.raises(InterruptedError):
-            training.train(rows, "lr", max_fit_pairs=bound)
+            training.train(rows, "lr", max_fit_pairs=bound, keep=False)
     assert seen[0] == rows.count() and seen[1] < seen[0] / 2
