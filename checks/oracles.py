@@ -491,6 +491,19 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN CAST('0x' || substr(md5(concat_ws('|', user_id, seller_id, 504)), 1, 8) AS UBIGINT) % 100 < 80
                      THEN 'train' ELSE 'test' END AS split FROM pair_list""",
         ),
+        "split_rows": _with(
+            STAR,
+            select="""SELECT seller_id, action_type, count_if(h < 80)::BIGINT AS train_rows, count_if(h >= 80)::BIGINT AS test_rows FROM (
+                SELECT *, CAST('0x' || substr(md5(concat_ws('|', seller_id, action_type, i, 504)), 1, 8) AS UBIGINT) % 100 AS h FROM (
+                    SELECT seller_id, action_type, row_number() OVER (PARTITION BY seller_id, action_type) - 1 AS i FROM user_log))
+                GROUP BY seller_id, action_type""",
+        ),
+        "rejected_days": _with(
+            STAR,
+            select="""SELECT * FROM (SELECT * REPLACE (
+                CASE WHEN item_id % 11 = 0 THEN NULL WHEN item_id % 7 = 0 THEN substr(time_stamp, 1, 3) ELSE time_stamp END AS time_stamp)
+                FROM user_log) WHERE item_id % 11 = 0 OR item_id % 7 = 0""",
+        ),
         "features_corrected": corrected(),
         "metric_multiclass": class_metrics(),
         "metric_multiclass_weighted": class_metrics(WEIGHTED),

@@ -14,11 +14,11 @@ from patronlens.operators import blocks
 from patronlens.operators.fanout import fan_out
 from patronlens.operators.labelled import join_log_labels, label_pairs, with_day
 from patronlens.operators.relational import attach_left, full_outer_chain, share_of_total
-from patronlens.operators.split import keyed_split
+from patronlens.operators.split import keyed_split, row_split
 from patronlens.plans import evaluation, training
 from patronlens.plans.features import basic_features, full_features, labelled_log
 from patronlens.plans.tables import staged, staged_together, table_path
-from patronlens.sources import read_features, write_features
+from patronlens.sources import read_features, rejected_days, write_features
 from patronlens.sources.adapters import inputs, load
 
 CONFIG = FeatureConfig()
@@ -151,6 +151,18 @@ def split_train_test(spark, sf_dir):
     return keyed_split(scan_labels(spark, sf_dir))
 
 
+def split_rows(spark, sf_dir):
+    """Many equal rows: what sellers' logs say when reduced to the action."""
+    return row_split(scan_user_log(spark, sf_dir).select("seller_id", "action_type"))
+
+
+def rejected_log_days(spark, sf_dir):
+    """A log in which every seventh item has lost a digit of its day and every eleventh the day."""
+    item, day = F.col("item_id"), F.col("time_stamp")
+    spoilt = F.when(item % 11 == 0, F.lit(None)).when(item % 7 == 0, F.substring(day, 1, 3)).otherwise(day)
+    return rejected_days(scan_user_log(spark, sf_dir).withColumn("time_stamp", spoilt))
+
+
 def _scored_documents(spark, sf_dir):
     labels, documents = load(spark, sf_dir, "labels"), load(spark, sf_dir, "documents")
     return labels.join(documents.select("doc_id", "n_chars"), "doc_id").select(
@@ -289,6 +301,8 @@ def queries() -> dict[str, Query]:
         "features_typed": features_typed,
         "normalized_features": normalized_features,
         "split_train_test": split_train_test,
+        "split_rows": split_rows,
+        "rejected_days": rejected_log_days,
         "features_corrected": partial(features_full, config=CORRECTED),
         "metric_multiclass": metric_multiclass,
         "metric_auc_hard": metric_auc_hard,

@@ -55,6 +55,8 @@ class FeatureConfig:
     ``"corrected"`` drops them: one row per label row, no month or click gate, and the
     unknown-gender code for users without a profile. ``restrict_to_labels=False`` lets the
     user and seller blocks see the whole log rather than the labelled pairs only.
+    ``on_bad_day="fail"`` stops where an action that is looked at has a day that cannot be read;
+    by default such a day is missing.
     """
 
     year: int = 2014
@@ -65,8 +67,11 @@ class FeatureConfig:
     favourite: int = 3
     semantics: str = "reference"
     restrict_to_labels: bool = True
+    on_bad_day: str = "null"
 
     def __post_init__(self) -> None:
+        if self.on_bad_day not in ("null", "fail"):
+            raise ValueError("on_bad_day must be 'null' or 'fail'")
         if self.semantics not in SEMANTICS:
             raise ValueError(f"semantics must be one of {SEMANTICS}, not {self.semantics!r}")
         if not self.months:

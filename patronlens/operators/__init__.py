@@ -13,7 +13,7 @@ from patronlens.operators.relational import (
     register_views,
     share_of_total,
 )
-from patronlens.operators.split import keyed_split, random_split, with_fold
+from patronlens.operators.split import keyed_split, random_split, row_split, with_fold
 
 __all__ = [
     "attach_left",
@@ -27,6 +27,7 @@ __all__ = [
     "pair_block",
     "random_split",
     "register_views",
+    "row_split",
     "seller_block",
     "share_of_total",
     "user_block",

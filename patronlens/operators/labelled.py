@@ -15,6 +15,14 @@ def with_day(log: DataFrame, config: FeatureConfig = FeatureConfig(), on_bad: st
     return log.withColumn("day", day).drop("time_stamp")
 
 
+def checked_days(dated: DataFrame, config: FeatureConfig) -> DataFrame:
+    """Fail on a missing day if the configuration asks for it."""
+    if config.on_bad_day == "null":
+        return dated
+    message = F.concat_ws(" ", F.lit("not an MMdd day: user"), "user_id", F.lit("seller"), "seller_id")
+    return dated.withColumn("day", F.coalesce("day", F.raise_error(message).cast("date")))
+
+
 def label_pairs(labels: DataFrame) -> DataFrame:
     """One row per distinct (user, seller, label), with the number of label rows behind it.
 

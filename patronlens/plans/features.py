@@ -9,7 +9,7 @@ from patronlens.config import PAIR_KEY, UNKNOWN_AGE, UNKNOWN_GENDER, FeatureConf
 from patronlens.functions.profile import fill_profile
 from patronlens.operators.blocks import basic_pair_block, pair_block, seller_block, user_block
 from patronlens.operators.fanout import fan_out
-from patronlens.operators.labelled import join_log_labels, label_pairs, with_day
+from patronlens.operators.labelled import checked_days, join_log_labels, label_pairs, with_day
 from patronlens.operators.relational import attach_left
 from patronlens.plans.tables import staged, staged_together
 
@@ -44,8 +44,8 @@ def _assemble(
     """
     pairs = staged(label_pairs(labels), "label_pairs")
     dated = with_day(log, config)
-    labelled = staged(by_user(join_log_labels(dated, pairs)), "labelled_log")
-    seen = labelled if config.restrict_to_labels else dated
+    labelled = staged(checked_days(by_user(join_log_labels(dated, pairs)), config), "labelled_log")
+    seen = labelled if config.restrict_to_labels else checked_days(dated, config)
     users, sellers = staged_together({
         "users": user_block(seen, config).join(fill_profile(info), "user_id", "left"),
         "sellers": seller_block(seen, config),

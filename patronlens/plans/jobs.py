@@ -6,19 +6,24 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.config import PAIR_KEY, FeatureConfig
 from patronlens.operators.fanout import fan_out
-from patronlens.operators.split import keyed_split, random_split
+from patronlens.operators.split import keyed_split, row_split
 from patronlens.plans import evaluation, training
 from patronlens.plans.features import basic_features, full_features
+from patronlens.plans.sizing import path_bytes, sized_for
 from patronlens.plans.tables import staged, temporary_tables
 from patronlens.sources import (
+    count_bad_days,
+    observed_days,
     read_labels,
     read_user_info,
     read_user_log,
+    rejected_days,
     write_features,
     write_predictions,
     write_report,
@@ -35,17 +40,38 @@ def run_feature_job(
     in_format: str = "csv",
     out_format: str = "csv",
     config: FeatureConfig = FeatureConfig(),
-) -> None:
-    """Read the three inputs, build the 'full' or the 'basic' table and write it."""
+    rejects_path: str | None = None,
+    log_bytes: int | None = None,
+) -> dict[str, int]:
+    """Read the three inputs, build the 'full' or the 'basic' table and write it.
+
+    Returns how many log rows were read and how many had a day that cannot be read. With
+    ``rejects_path`` these are saved there, whole; ``config.on_bad_day="fail"`` stops at one that
+    belongs to a labelled pair. Shuffles are sized for ``log_bytes``, by default the log's files.
+    """
     build = {"full": full_features, "basic": basic_features}[table]
-    with temporary_tables(spark):
+    raw, seen = read_user_log(spark, log_path, in_format), Observation("log")
+    with sized_for(spark, log_bytes if log_bytes is not None else path_bytes(spark, log_path)), temporary_tables(spark):
         features = build(
-            read_user_log(spark, log_path, in_format),
+            observed_days(raw, seen),
             read_labels(spark, label_path, in_format),
             read_user_info(spark, info_path, in_format),
             config,
         )
         write_features(features, out_path, out_format)
+    return _rejects(raw, seen, rejects_path)
+
+
+def _rejects(raw: DataFrame, seen: Observation, path: str | None) -> dict[str, int]:
+    """The counts taken while the log was read; the rejected rows to ``path``, if there are any."""
+    try:
+        found = seen.get
+    except Py4JJavaError:  # nothing asked for the log, as with an empty list of pairs
+        found = count_bad_days(raw).first().asDict()
+    counts = {name: int(n) for name, n in found.items()}
+    if path is not None:
+        rejected_days(raw).write.mode("overwrite").parquet(path)
+    return counts
 
 
 def log_of_pairs(log: DataFrame, lists: Sequence[DataFrame]) -> DataFrame:
@@ -74,25 +100,29 @@ def run_training_job(
     in_format: str = "csv",
     config: FeatureConfig = FeatureConfig(semantics="corrected"),
     columns: Sequence[str] | None = None,
-    parallelism: int = 2,
+    parallelism: int = training.PARALLELISM,
     split: str = "pair",
-) -> None:
+    rejects_path: str | None = None,
+    log_bytes: int | None = None,
+) -> dict[str, int]:
     """Train each model on the labelled pairs, report on both sides of the split, score the rest.
 
     Writes ``report`` and ``search`` (JSON), ``curves`` and, per model, ``predictions``
-    (Parquet) under ``out_path``. Feature rows are kept once with their weight and staged,
+    (Parquet) and ``models`` under ``out_path``. Feature rows are kept once with their weight and staged,
     because every fit and every report reads them again; the weight counts in fits, in the choice
     of the grid point, in every report and in the predictions, which are repeated by it.
-    ``split="row"`` splits row by row instead of by pair.
+    ``split="row"`` splits row by row instead of by pair. Counts of the log, ``rejects_path`` and
+    ``log_bytes``: as in ``run_feature_job``.
     """
     if split not in ("pair", "row"):
         raise ValueError("split must be 'pair' or 'row'")
-    log = read_user_log(spark, log_path, in_format)
+    raw, seen = read_user_log(spark, log_path, in_format), Observation("log")
+    log = observed_days(raw, seen)
     info = read_user_info(spark, info_path, in_format)
     lists = {"train": read_labels(spark, train_path, in_format), "test": read_labels(spark, test_path, in_format)}
     columns = columns if columns is not None else training.input_columns(config)
 
-    with temporary_tables(spark):
+    with sized_for(spark, log_bytes if log_bytes is not None else path_bytes(spark, log_path)), temporary_tables(spark):
         if config.restrict_to_labels:
             log = log_of_pairs(log, list(lists.values()))
         known, asked = (
@@ -100,9 +130,11 @@ def run_training_job(
             for name, labels in lists.items()
         )
         if split == "row":
-            train, test = random_split(fan_out(known.drop("split"), "weight", by=PAIR_KEY))
-            one = F.lit(1).cast("long")
-            sides = {"train": staged(train.withColumn("weight", one), "train_side"), "test": staged(test.withColumn("weight", one), "test_side")}
+            split_rows = staged(row_split(known.drop("split"), weight="weight"), "row_sides")
+            copies = {side: F.col(f"{side}_rows") for side in ("train", "test")}
+            sides = {
+                side: split_rows.where(n > 0).withColumn("weight", n).drop("train_rows", "test_rows") for side, n in copies.items()
+            }
         else:
             sides = {side: known.filter(F.col("split") == side) for side in ("train", "test")}
 
@@ -111,6 +143,7 @@ def run_training_job(
             model = training.train(
                 sides["train"], name, grids[name], folds, columns, parallelism, weight="weight"
             )
+            model.model.write().overwrite().save(f"{out_path}/models/{name}")
             searches += [(name, json.dumps(point), point["area_under_roc"], point["chosen"]) for point in training.search_points(model)]
             for side, rows in sides.items():
                 scored = training.score(model, rows, [*PAIR_KEY, "label", "weight"])
@@ -128,3 +161,4 @@ def run_training_job(
         )
         _union(curves).write.mode("overwrite").parquet(f"{out_path}/curves")
         write_predictions(_union(predictions), f"{out_path}/predictions")
+    return _rejects(raw, seen, rejects_path)

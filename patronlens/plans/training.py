@@ -154,6 +154,14 @@ def segments(name: str, model, sizes: Sequence[int]) -> list:
     return out
 
 
+def without_summary(name: str, model):
+    """MLlib's own object without the summary of its training, which would travel to the tasks with
+    it and holds on to the session and the training rows."""
+    if name in ("lr", "rf"):
+        model.setSummary(SparkSession.active().sparkContext._jvm.scala.Option.empty())
+    return model
+
+
 def with_raw(model, rows: DataFrame, column: str) -> DataFrame:
     """Rows with the raw prediction of one of MLlib's own objects. Python's wrappers of models are
     left out here: building one takes seconds for a forest."""
@@ -192,7 +200,7 @@ def fold_scores(
     tasks = fit_tasks(vectors)
 
     def one(fold: int, params: dict, numbers: list[int]) -> DataFrame:
-        model = classifier(name, params, weight, seed)._fit_java(vectors.where(F.col("fold") != fold).coalesce(tasks))
+        model = without_summary(name, classifier(name, params, weight, seed)._fit_java(vectors.where(F.col("fold") != fold).coalesce(tasks)))
         held = vectors.where(F.col("fold") == fold)
         wide = point_scores(name, model, points, numbers, held.select("label", (F.col(weight) if weight else F.lit(1)).alias("_rows"), "features"))
         tall = F.explode(F.array(*(F.struct(F.lit(i).alias("point"), F.col(f"score_{i}").alias("score")) for i in numbers)))
@@ -225,7 +233,9 @@ def search(
     # Sums of floats come in any order: what differs by less than their error is a tie.
     best = next(i for i, m in enumerate(means) if m >= max(means) - 1e-12)
     told = [{**p, "area_under_roc": m, "chosen": i == best} for i, (p, m) in enumerate(zip(points, means, strict=True))]
-    return classifier(name, points[best], weight, seed).fit(vectors.coalesce(fit_tasks(vectors))), told
+    chosen = classifier(name, points[best], weight, seed).fit(vectors.coalesce(fit_tasks(vectors)))
+    without_summary(name, chosen._java_obj)
+    return chosen, told
 
 
 def data_key(df: DataFrame) -> str:

@@ -4,10 +4,12 @@ from patronlens.sources.readers import (
     USER_LOG_SCHEMA,
     count_bad_days,
     features_schema,
+    observed_days,
     read_features,
     read_labels,
     read_user_info,
     read_user_log,
+    rejected_days,
 )
 from patronlens.sources.sinks import write_features, write_predictions, write_report
 
@@ -17,10 +19,12 @@ __all__ = [
     "USER_LOG_SCHEMA",
     "count_bad_days",
     "features_schema",
+    "observed_days",
     "read_features",
     "read_labels",
     "read_user_info",
     "read_user_log",
+    "rejected_days",
     "write_features",
     "write_predictions",
     "write_report",

@@ -6,7 +6,7 @@ its leading zero.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,19 @@ def read_user_info(spark: SparkSession, path: str, fmt: str = "csv") -> DataFram
     return _read(spark, path, USER_INFO_SCHEMA, fmt)
 
 
+def rejected_days(log: DataFrame) -> DataFrame:
+    """The log rows whose day cannot be read, whole."""
+    return log.where(~is_month_day(F.col("time_stamp")))
+
+
+def observed_days(log: DataFrame, observation: Observation) -> DataFrame:
+    """The log, counting its rows and those whose day cannot be read while it is read for
+    something else (``rows`` and ``bad_days`` of the observation)."""
+    return log.observe(
+        observation, F.count(F.lit(1)).alias("rows"), F.count_if(~is_month_day(F.col("time_stamp"))).alias("bad_days")
+    )
+
+
 def count_bad_days(log: DataFrame) -> DataFrame:
     """How many log rows carry a day that cannot be read: one row, two counts."""
     return log.agg(

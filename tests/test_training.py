@@ -1,5 +1,6 @@
 import pytest
 from conftest import SMALL
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.queries import queries
 from patronlens import FeatureConfig
 from patronlens.operators.split import keyed_split, with_fold
-from patronlens.plans import full_features, jobs, training
+from patronlens.plans import full_features, jobs, sizing, training
 from patronlens.plans.tables import staged
 from patronlens.sources.adapters import inputs
 
@@ -204,12 +205,67 @@ def test_feature_job_writes_both_tables(spark, tmp_path):
         assert (len(back.columns), back.count()) == (columns, rows)
 
 
-def test_random_split_covers_all_rows(rows):
+def test_row_split_does_not_follow_the_partitioning(rows):
     from patronlens.operators import random_split
 
-    train, test = random_split(rows)
-    assert train.count() + test.count() == rows.count()
-    assert 0.7 < train.count() / rows.count() < 0.9
+    few = rows.select("user_id", "seller_id", "label")
+    few = few.union(few.limit(1).crossJoin(rows.sparkSession.range(9000)).drop("id"))  # one row above two chunks
+    train, test = random_split(few.repartition(2))
+    assert train.columns == few.columns
+    assert train.union(test).exceptAll(few).count() == few.exceptAll(train.union(test)).count() == 0
+    assert 0.75 < train.count() / few.count() < 0.85
+    again, _ = random_split(few.repartition(7))
+    assert train.exceptAll(again).count() == again.exceptAll(train).count() == 0
+
+
+def test_row_split_of_weights_is_that_of_rows(spark):
+    from patronlens.operators import fan_out, row_split
+
+    weighted = spark.createDataFrame([(i, i % 2, i % 5 * 1000) for i in range(12)] + [(None, 1, 3)], "a long, b int, weight long")
+    by_weight = row_split(weighted, weight="weight").collect()
+    assert {tuple(r) for r in by_weight} == {tuple(r) for r in row_split(fan_out(weighted, "weight")).collect()}
+    assert sum(r.train_rows + r.test_rows for r in by_weight) == weighted.agg(F.sum("weight")).first()[0]
+
+
+@pytest.mark.parametrize("split", ["pair", "row"])
+def test_jobs_tell_of_days_that_cannot_be_read(spark, tmp_path, split):
+    log, labels, info = inputs(spark, SMALL, "events")
+    spoilt = log.withColumn("time_stamp", F.when(F.col("item_id") % 9 == 0, "1x").otherwise(F.col("time_stamp")))
+    paths = {name: str(tmp_path / name) for name in ("log", "info", "labels", "out", "rejects")}
+    for frame, name in ((spoilt, "log"), (info, "info"), (labels, "labels")):
+        frame.write.csv(paths[name], header=True)
+    want = {"rows": log.count(), "bad_days": log.filter("item_id % 9 = 0").count()}
+    given = (spark, paths["log"], paths["info"], paths["labels"])
+    if split == "pair":
+        got = jobs.run_feature_job(*given, paths["out"], table="basic", rejects_path=paths["rejects"])
+        with pytest.raises(Exception, match="not an MMdd day"):
+            jobs.run_feature_job(*given, paths["out"], config=FeatureConfig(on_bad_day="fail"))
+        nobody = str(tmp_path / "nobody")
+        labels.limit(0).coalesce(1).write.csv(nobody, header=True)
+        none = jobs.run_feature_job(spark, paths["log"], paths["info"], nobody, paths["out"], table="basic")
+        assert none == want
+    else:
+        got = jobs.run_training_job(
+            *given, paths["labels"], paths["out"], models=["dt"], grids=TINY, folds=2, config=CORRECTED, split=split, rejects_path=paths["rejects"]
+        )
+        assert PipelineModel.load(f"{paths['out']}/models/dt").stages[-1].depth > 0
+    assert got == want
+    assert spark.read.parquet(paths["rejects"]).count() == want["bad_days"] > 0
+
+
+def test_jobs_size_their_shuffles_by_the_log(spark, tmp_path, monkeypatch):
+    log, labels, info = inputs(spark, SMALL, "events")
+    paths = {name: str(tmp_path / name) for name in ("log", "info", "labels", "out")}
+    for frame, name in ((log, "log"), (info, "info"), (labels, "labels")):
+        frame.write.csv(paths[name], header=True)
+    key, seen = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    assert sizing.path_bytes(spark, paths["log"]) > 10_000
+    monkeypatch.setattr(jobs, "full_features", lambda *a: seen.append(spark.conf.get(key)) or spark.range(1))
+    monkeypatch.setattr(jobs, "_rejects", lambda *a: {})
+    for stated in (None, 10**15):
+        jobs.run_feature_job(spark, paths["log"], paths["info"], paths["labels"], paths["out"], log_bytes=stated)
+    assert seen[0] == before == spark.conf.get(key) and int(seen[1]) > 1_000_000
 
 
 def test_shared_log_changes_no_features(spark):
