@@ -121,6 +121,16 @@ def numbered(df: DataFrame, group: str | None, order: list[str], sums: list[str]
     return joined.select(*df.columns, *(v.alias(k) for k, v in fixed.items()))
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: all that was made of them is written."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # --- Hashes over many texts at once ---------------------------------------------------------
 
 

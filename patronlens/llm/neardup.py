@@ -8,9 +8,10 @@ bucket; candidates are verified by the exact weighted Jaccard similarity of thei
 
 Rarity is 1 + ln((N + 1) / (df + 1)) / ln(N + 1), from 1 for a shingle of every document to 2:
 the scale keeps large groups of copies, which make their own shingles frequent, above the
-threshold. Document frequencies are counted per 64-bit shingle hash over all documents. Texts are
-packed in blocks; a block sends the distinct hashes it holds, once each, to slices of the hash range,
-and gets its frequencies back in the same order, so a common shingle costs a hash a block. The
+threshold. Document frequencies are counted over all documents, per shingle hash cut to as many bits as
+tell apart 4,096 times as many shingles as the input has characters. Texts are packed in blocks, squeezed;
+a block sends the distinct hashes it holds, once each, to slices of the hash range, and gets its
+frequencies back in the same order, so a common shingle costs a hash a block. The
 frequencies of a text's shingles are kept beside it for the exact check.
 
 Within a bucket all texts are compared with one of them, drawn anew in each bucket and round, unless
@@ -32,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import U64, mix, small_batches, span_hashes
+from patronlens.llm.common import U64, drop, mix, small_batches, span_hashes
 from patronlens.plans.tables import staged
 
 WORDS = 5
@@ -129,18 +131,33 @@ def document_frequencies(docs: DataFrame, words: int, df_bits: int) -> np.ndarra
     return out
 
 
+def squeezed(texts: pa.Array) -> bytes:
+    """A run of texts, compressed together."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["t"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
+
+
+def unsqueezed(body: bytes) -> list[str]:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all().column(0).to_pylist()
+
+
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """Rows with a text in blocks of about PACK characters: (block, n, chars, doc_ids, keys, texts)."""
+    """Rows with a text in blocks of about PACK characters: (block, n, chars, doc_ids, keys, texts),
+    the texts squeezed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, texts in runs(batch.column(2).to_pylist(), PACK):
-                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(c).slice(lo, hi - lo)) for c in range(3)]
+                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(c).slice(lo, hi - lo)) for c in range(2)]
                 head = [pa.array([uuid.uuid4().hex]), pa.array([hi - lo]), pa.array([sum(map(len, texts))])]
-                yield pa.RecordBatch.from_arrays([*head, *lists], names=["block", "n", "chars", "doc_ids", "keys", "texts"])
+                body = pa.array([squeezed(batch.column(2).slice(lo, hi - lo))], pa.binary())
+                yield pa.RecordBatch.from_arrays([*head, *lists, body], names=["block", "n", "chars", "doc_ids", "keys", "texts"])
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
-    return rows.mapInArrow(run, "block string, n long, chars long, doc_ids array<long>, keys array<string>, texts array<string>")
+    return rows.mapInArrow(run, "block string, n long, chars long, doc_ids array<long>, keys array<string>, texts binary")
 
 
 def block_shingles(texts: list[str], words: int) -> tuple[list, np.ndarray, np.ndarray]:
@@ -151,37 +168,65 @@ def block_shingles(texts: list[str], words: int) -> tuple[list, np.ndarray, np.n
     return bags, h, n
 
 
-def counted(packed: DataFrame, words: int, slices: int) -> DataFrame:
-    """(block, slice, df): for each block the document frequencies, over all blocks, of its distinct
-    shingle hashes in order."""
+def squeezed_cells(cells: np.ndarray) -> bytes:
+    """Distinct cells in order: their steps byte by byte, of which the high ones are zeros."""
+    steps = np.diff(cells, prepend=cells.dtype.type(0))
+    return zstandard.ZstdCompressor(level=1).compress(steps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unsqueezed_cells(body: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    return np.cumsum(raw.reshape(8, -1).T.copy().view(U64)[:, 0], dtype=U64)
+
+
+def cell_bits(chars: int) -> int:
+    """Bits of a shingle's hash that tell it apart when documents are counted: 4,096 cells a character
+    of the input, so that at any size not one shingle in ten thousand meets another's cell."""
+    return min(64, max(32, int(chars).bit_length() + 12))
+
+
+def counted(packed: DataFrame, words: int, slices: int, bits: int = 64) -> DataFrame:
+    """(block, slice, df): for each block the document frequencies, over all blocks, of the distinct
+    shingle hashes it holds, in order, a slice of the hash range at a time. Hashes travel as the
+    first ``bits`` bits."""
+    cut = U64(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                _, h, n = block_shingles(batch.column(1)[i].as_py(), words)
+                _, h, n = block_shingles(unsqueezed(batch.column(1)[i].as_py()), words)
                 at = ((h >> U64(40)) * U64(slices) >> U64(24)).astype(np.int64)
                 cuts = np.searchsorted(at, np.arange(slices + 1))
                 held = np.flatnonzero(np.diff(cuts))
-                # Byte by byte: in order, the high bytes are alike and shrink.
-                columns = [h[cuts[s] : cuts[s + 1]].view(np.uint8).reshape(-1, 8).T.tobytes() for s in held]
-                counts = [n[cuts[s] : cuts[s + 1]].astype("<u4").tobytes() for s in held]
+                columns = [squeezed_cells(h[cuts[s] : cuts[s + 1]] >> cut) for s in held]
+                counts = [zlib.compress(n[cuts[s] : cuts[s + 1]].astype("<u4").tobytes(), 1) for s in held]
                 block = pa.array([batch.column(0)[i].as_py()] * len(held), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), block, pa.array(columns, pa.binary()), pa.array(counts, pa.binary())], names=["slice", "block", "h", "n"])
 
+    def total(slice_: int, blocks: list[str], h: list[bytes], n: list[bytes]) -> pa.RecordBatch:
+        each = [unsqueezed_cells(x) for x in h]
+        counts = np.frombuffer(b"".join(map(zlib.decompress, n)), "<u4")
+        _, at = np.unique(np.concatenate(each), return_inverse=True)
+        df = np.bincount(at, weights=counts).astype("<u4")[at]
+        ends = np.cumsum([len(x) for x in each])
+        bodies = [zlib.compress(x.tobytes(), 1) for x in np.split(df, ends[:-1])]
+        return pa.RecordBatch.from_arrays([pa.array(blocks), pa.array([slice_] * len(each), pa.int32()), pa.array(bodies, pa.binary())], names=["block", "slice", "df"])
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [])
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows = batch.column(1)[i].values
-                each = [np.frombuffer(b, np.uint8).reshape(8, -1).T.copy().view(U64)[:, 0] for b in rows.field("h").to_pylist()]
-                n = np.frombuffer(b"".join(rows.field("n").to_pylist()), "<u4")
-                h, at = np.unique(np.concatenate(each), return_inverse=True)
-                df = np.bincount(at, weights=n, minlength=len(h)).astype("<u4")[at]
-                ends = np.cumsum([len(x) for x in each])
-                bodies = [zlib.compress(x.tobytes(), 1) for x in np.split(df, ends[:-1])]
-                yield pa.RecordBatch.from_arrays([rows.field("block"), pa.array([batch.column(0)[i].as_py()] * len(each), pa.int32()), pa.array(bodies, pa.binary())], names=["block", "slice", "df"])
+            for s, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if s != now and held[0]:
+                    yield total(now, *held)
+                    held = ([], [], [])
+                now = s
+                for column, value in zip(held, row, strict=True):
+                    column.append(value)
+        if held[0]:
+            yield total(now, *held)
 
     sent = packed.select("block", "texts").mapInArrow(send, "slice int, block string, h binary, n binary")
-    return sent.groupBy("slice").agg(F.collect_list(F.struct("block", "h", "n")).alias("rows")).mapInArrow(add, "block string, slice int, df binary")
+    return sent.repartition(max(1, slices // 4), "slice").sortWithinPartitions("slice").mapInArrow(add, "block string, slice int, df binary")
 
 
 def frequencies(body: bytes | None) -> np.ndarray:
@@ -227,14 +272,19 @@ class Sampler:
         if not len(h):
             return out, count
         log_s = np.log(n) + np.log(self.rarity(df))
+        # One weight, that of a shingle of its own, is by far the most frequent. What a sample makes of
+        # it depends on the hash's place in the table alone and is worked out once.
+        common = float(np.log(self.rarity(np.ones(1, np.int64)))[0])
+        rest = np.flatnonzero(log_s != common)
+        log_rest = log_s[rest]
         first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         size = np.diff(np.append(first, len(h)))
         rows = owner[first]
         for j in range(m):
             at = ((h * self.odd[j]) >> U64(64 - TABLE_BITS)).astype(np.int64)
-            r, beta = self.r[j][at], self.beta[j][at]
-            t = np.floor(log_s / r + beta)
-            a = self.log_c[j][at] - r * (t - beta + 1.0)
+            t_common, a_common = self.variates(j, slice(None), common)
+            t, a = t_common[at], a_common[at]
+            t[rest], a[rest] = self.variates(j, at[rest], log_rest)
             least = np.repeat(np.minimum.reduceat(a, first), size)
             hits = np.flatnonzero(a == least)  # ties: the smallest hash, which comes first
             who = owner[hits]
@@ -242,6 +292,12 @@ class Sampler:
             out[rows, j] = mix(h[pick] + t[pick].astype(np.int64).astype(U64) * U64(0x9E3779B97F4A7C15))
         return out, count
 
+    def variates(self, j: int, at, log_s) -> tuple[np.ndarray, np.ndarray]:
+        """The level and the value of sample ``j`` at places ``at`` of its table, for log weights."""
+        r, beta = self.r[j][at], self.beta[j][at]
+        t = np.floor(log_s / r + beta)
+        return t, self.log_c[j][at] - r * (t - beta + 1.0)
+
     def band_keys(self, signatures: np.ndarray) -> np.ndarray:
         keys = np.zeros((len(signatures), self.bands), U64)
         for b in range(self.bands):
@@ -271,8 +327,8 @@ def signed_texts(packed: DataFrame, dfs: DataFrame, sampler) -> DataFrame:
         s = sampler.value
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, keys, texts = (batch.column(c)[i].values for c in range(3))
-                bags, every, _ = block_shingles(texts.to_pylist(), s.words)
+                ids, keys = (batch.column(c)[i].values for c in range(2))
+                bags, every, _ = block_shingles(unsqueezed(batch.column(2)[i].as_py()), s.words)
                 parts = sorted(batch.column(3)[i].as_py() or [], key=lambda x: x["slice"])
                 of_every = np.concatenate([frequencies(x["df"]) for x in parts] or [frequencies(None)])
                 if len(of_every) != len(every):
@@ -405,9 +461,10 @@ def near_duplicates(
     packed = staged(packed_texts(docs), "near-packed")
     documents, chars = packed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("chars"), F.lit(0))).first()
     sampler = spark.sparkContext.broadcast(Sampler(None, documents, words, bands, rows))
-    dfs = staged(counted(packed, words, max(SLICES, -(-chars // SLICE_CHARS))), "near-frequencies")
+    dfs = staged(counted(packed, words, max(SLICES, -(-chars // SLICE_CHARS)), cell_bits(chars)), "near-frequencies")
 
     signed = staged(signed_texts(packed, dfs, sampler), "near-signed")
+    drop(packed, dfs)
     # First of equal texts: signatures are equal too.
     distinct = staged(
         signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature"), F.min("bands").alias("bands"), F.min("df").alias("df")), "near-texts"

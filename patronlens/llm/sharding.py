@@ -6,7 +6,9 @@ than the given number of shards, and the order is cut there. A row's shard then
 digest and the cuts alone: no join, whatever the size of a group.
 
 A group above the mean shard size fills a shard by itself (it would otherwise set the capacity of
-all others); the rest is cut anew over the shards that are left.
+all others) and the rest is cut anew over the shards that are left, if no shard comes out larger than
+the smallest capacity of all. Where one does, the plain walk's cuts stay. The largest runs of
+several groups are then halved until all shards are in use.
 
 The walk needs running totals at a few places only. They are Spark's (a range shuffle of one
 narrow row per group); the driver holds at most ``limit`` of them at a time, evenly spaced at
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import bisect
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +139,25 @@ def balanced_cuts(totals: Totals, total: int, large, shards: int) -> list[int]:
     return sorted([a + s for a, s in alone.items()] + [c for (lo, hi), k in given.items() for c in totals.minimax(lo, hi, k)])
 
 
+def largest(cuts: list[int]) -> int:
+    return max(b - a for a, b in pairwise([0, *sorted(cuts)]))
+
+
+def split_further(totals: Totals, cuts: list[int], shards: int) -> list[int]:
+    """Halve the largest runs of several groups until there are as many runs as shards: none grows."""
+    whole = set()  # runs of one group
+    while len(cuts) < shards:
+        runs = [(b - a, a, b) for a, b in pairwise([0, *cuts]) if (a, b) not in whole]
+        if not runs:
+            break
+        _, a, b = max(runs)
+        parts = totals.minimax(a, b, 2)
+        if len(parts) < 2:
+            whole.add((a, b))
+        cuts = sorted({*cuts, *parts})
+    return cuts
+
+
 class Large:
     """(start, size) of the groups above a size: fewer than shards when the size is their mean."""
 
@@ -162,6 +184,10 @@ def minimax_cuts(groups: DataFrame, shards: int, limit: int = 100_000) -> list[s
     totals = Totals(int(total), rows, fetch, limit)
     totals.refine([(0, int(total))])
     cuts = balanced_cuts(totals, int(total), Large(ordered), shards)
+    best = totals.minimax(0, int(total), shards)
+    if largest(cuts) > largest(best):  # a group above the mean stood between groups it had better been joined with
+        cuts = best
+    cuts = split_further(totals, cuts, shards)
     inner = [c for c in cuts if c < total]
     keys = [r[0] for r in ordered.where(F.col("before_bytes").isin(inner)).select("key").collect()] if inner else []
     return sorted(keys)

@@ -10,7 +10,9 @@ letters or look-alikes set apart, with at least one letter among them. Any other
 Restored words (and their beginnings, which inflected and compounded words share) are the features
 of a logistic regression, fitted on a bounded sample of labelled rows: about ``fit_rows`` whole
 texts drawn by a hash of the id, of which the ``features`` with the highest likelihood ratio are
-kept. All other passes cover every document.
+kept, of those in at least MIN_SUPPORT of these texts. All other passes cover every document. Letters
+beyond the first 65,536 code points count as breaks in the letter model. Rows that repeat are scored
+alike, and count as often as they come.
 
 Null and empty texts get the score of a text without features. No labelled rows of both kinds:
 score 0.
@@ -18,6 +20,7 @@ score 0.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -37,7 +40,8 @@ from patronlens.plans.tables import staged
 FIT_ROWS = 20_000
 FEATURES = 4096
 MIN_SUPPORT = 5
-CACHE = 400_000  # tokens whose features a task remembers before it starts afresh
+CACHE = 200_000  # tokens whose features a task remembers, and as many that it met before those
+LONG = 64  # letters of a word that is told by its digest; longer tokens are not remembered
 LETTERS = 62  # letters with a place of their own in the letter model
 
 # Look-alikes and what they may stand for.
@@ -56,6 +60,7 @@ LETTER = re.compile(r"[^\W\d_]")
 WORD = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"([^\W\d_])\1")
 TWICE = re.compile(r"(.)\1")
+THRICE = re.compile(r"(.)\1\1")
 MIXED = re.compile(rf"[^\W\d_](?:[{_LOOK}]|[*~.\-_']+(?:[^\W\d_]|[{_LOOK}]))|[{_LOOK}](?:[^\W\d_{_LOOK}]|[*~.\-_']+[^\W\d_])|[{_LOOK}]{{2}}")
 TRIM = "\"'.,;:?)]}[{<>#%&*-_~`\\/"
 
@@ -140,9 +145,32 @@ def lattice(token: str, apart: bool = False, doubled: bool = False) -> list[list
     return places
 
 
+def undoubled(word: str, model: Letters) -> str:
+    """The cheapest reading of a word of letters whose only disguise may be letters written twice.
+
+    The letters beside a pair stay what they are however it is read, and so do all costs but those of
+    the three places that touch it: each pair is decided by itself, as in the lattice."""
+    code = [model.code.get(c, 1) for c in word]
+    out, i = [], 0
+    while i < len(word):
+        if i + 1 < len(word) and word[i + 1] == word[i]:
+            before, k, after = code[i - 1] if i else 0, code[i], code[i + 2] if i + 2 < len(word) else 0
+            one = COST_DOUBLED + model.step(before, k, after)
+            out.append(word[i] if one <= model.step(before, k, k) + model.step(k, k, after) else word[i : i + 2])
+            i += 2
+        else:
+            out.append(word[i])
+            i += 1
+    return "".join(out)
+
+
 def restore_token(token: str, model: Letters) -> str:
     """A lower-case token as meant; the token itself where nothing is disguised."""
     inner = token.strip(TRIM)
+    if inner.isalpha() and not THRICE.search(inner):
+        if not RUN.search(inner):
+            return token
+        return " ".join(dict.fromkeys([undoubled(inner, model), inner]))
     if RUN.search(inner) or MIXED.search(inner):
         tail = inner.rstrip("!?+(")  # closing marks are punctuation, unless they finish the word
         found = [model.cheapest(lattice(tail))]
@@ -174,22 +202,27 @@ def word_features(restored: str) -> list[str]:
     found = []
     for w in WORD.findall(restored):
         if len(w) > 2:
-            found.append(f"w:{w[:40]}")
+            found.append(f"w:{w}" if len(w) <= LONG else f"w:{hashlib.sha256(w.encode()).hexdigest()}")
         found.extend(f"p:{w[:n]}" for n in (4, 5, 6) if len(w) >= n)
     return found
 
 
 class Reader:
-    """Features of whole texts; distinct tokens are restored once, within a bounded memory."""
+    """Features of whole texts; distinct tokens are restored once, within a bounded memory: tokens
+    not met again are forgotten, long ones are not remembered."""
 
     def __init__(self, model: Letters, index: dict[str, int] | None = None):
-        self.model, self.index, self.seen = model, index, {}
+        self.model, self.index, self.seen, self.older = model, index, {}, {}
 
     def of_token(self, token: str) -> tuple:
-        found = word_features(restore_token(token, self.model))
-        if self.index is not None:
-            found = [self.index[f] for f in found if f in self.index]
-        self.seen[token] = out = tuple(found)
+        out = self.older.get(token)
+        if out is None:
+            found = word_features(restore_token(token, self.model))
+            if self.index is not None:
+                found = [self.index[f] for f in found if f in self.index]
+            out = tuple(found)
+        if len(token) <= LONG:
+            self.seen[token] = out
         return out
 
     def features(self, text: str | None) -> set:
@@ -197,7 +230,7 @@ class Reader:
             return set()
         low = text.lower()
         if len(self.seen) > CACHE:
-            self.seen.clear()
+            self.seen, self.older = {}, self.seen
         seen, out = self.seen, set()
         for t in set(low.split()):
             f = seen.get(t)

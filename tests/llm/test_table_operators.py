@@ -203,6 +203,17 @@ def test_smallest_capacity(spark, limit):
     assert max(sum(sizes[a:b]) for a, b in zip(at, at[1:], strict=False)) == best_capacity(sizes, 7)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_smallest_capacity_with_groups_above_the_mean(spark, seed):
+    rng = random.Random(seed)
+    sizes = [rng.choice([rng.randrange(1, 30), rng.randrange(1, 400), rng.randrange(300, 1000)]) for _ in range(rng.randrange(20, 60))]
+    groups = spark.createDataFrame([(f"{i:05d}", s) for i, s in enumerate(sizes)], "key string, bytes long").coalesce(1)
+    cuts = sharding.minimax_cuts(groups, 24)
+    at = [0, *(int(c) for c in cuts), len(sizes)]
+    assert max(sum(sizes[a:b]) for a, b in zip(at, at[1:], strict=False)) == best_capacity(sizes, 24)
+    assert len(at) - 1 == min(24, len(sizes))
+
+
 def test_groups_stay_whole_and_large_ones_alone(spark):
     rng = random.Random(9)
     rows = [(i, "copy " * 40) for i in range(300)] + [(i, " ".join(str(rng.random()) for _ in range(5))) for i in range(300, 900)]

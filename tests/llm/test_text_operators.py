@@ -232,6 +232,16 @@ def test_cheapest_path_is_the_best_of_all(letters):
         assert any("".join(o[0] for o in p).strip() == found and cost(p) == pytest.approx(best) for p in itertools.product(*places))
 
 
+def test_pairs_of_letters_are_read_as_in_the_lattice(letters):
+    """The local decision against the walk over all readings, on real and on made-up words."""
+    rng = random.Random(4)
+    words = ["all", "will", "iddioott", "aabb", "ssee", "xx", "eennd", "ßß", "жжu"]
+    words += ["".join(c * rng.choice([1, 1, 2]) for c in rng.choices("aeiorstnlzq", k=rng.randrange(1, 12))) for _ in range(3000)]
+    for w in (w for w in words if toxicity.RUN.search(w) and not toxicity.THRICE.search(w)):
+        assert toxicity.undoubled(w, letters) == letters.cheapest(toxicity.lattice(w)), w
+        assert letters.cheapest(toxicity.lattice(w, doubled=True)) == w
+
+
 def test_toxicity_learns_and_scores_odd_rows(spark, odd):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices(["tion", "ander", "thesh", "blend", "ering"], k=30) + (["m0ron" if i % 8 else "moron"] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(200)]
