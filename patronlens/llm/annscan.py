@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import small_batches
+from patronlens.llm.common import small_batches, with_room
 from patronlens.plans.tables import staged
 
 K = 20
@@ -63,7 +63,7 @@ def usable(vectors: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), raw.filter(keep), pa.array(norm).filter(keep)], names=["vec_id", "vec", "norm2"])
 
     rows = vectors.where("vec_id is not null and embedding is not null").where(F.size("embedding") == length)
-    return rows.where(F.size("embedding") > 0).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, "vec_id long, vec binary, norm2 double")
+    return rows.where(F.size("embedding") > 0).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(with_room(run), "vec_id long, vec binary, norm2 double")
 
 
 def matrix(column) -> np.ndarray:
@@ -180,7 +180,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
                 near = index.value.nearest(index.value.extend(matrix(batch.column(1))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32))], names=["vec_id", "vec", "list"])
 
-    listed = staged(rows.select("vec_id", "vec").mapInArrow(assign, "vec_id long, vec binary, list int"), "ann-listed")
+    listed = staged(rows.select("vec_id", "vec").mapInArrow(with_room(assign), "vec_id long, vec binary, list int"), "ann-listed")
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # at most MAX_LISTS
     chunks = F.broadcast(spark.createDataFrame([(i, -(-n // CHUNK)) for i, n in sizes.items()], "list int, chunks long"))
     part = F.pmod(F.xxhash64("vec_id", "vec"), "chunks")
@@ -199,7 +199,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
                     pa.array([vec.tobytes()], pa.binary()), pa.array([[np.ascontiguousarray(rotated[:, b]).tobytes() for b in m.blocks]], pa.list_(pa.binary())),
                 ], names=["list", "part", "ids", "vecs", "blocks"])
 
-    stored = staged(packed.mapInArrow(columns, "list int, part long, ids binary, vecs binary, blocks array<binary>"), "ann-index")
+    stored = staged(packed.mapInArrow(with_room(columns), "list int, part long, ids binary, vecs binary, blocks array<binary>"), "ann-index")
     size = np.array([sizes.get(i, 0) for i in range(len(index.value.centroids))])
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +218,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(order[qi, at].astype(np.int32)), first], names=["query_id", "q", "list", "first"])
 
     asked = rows.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("q"))
-    asked = staged(asked.mapInArrow(probes, "query_id long, q binary, list int, first boolean"), "ann-probes")
+    asked = staged(asked.mapInArrow(with_room(probes), "query_id long, q binary, list int, first boolean"), "ann-probes")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = index.value
@@ -242,7 +242,7 @@ def search(vectors: DataFrame, is_query, k: int = K, probed: float = PROBED, fit
             queries.join(blocks, "list").groupBy("list", "chunks", block.alias("block")).agg(F.collect_list(F.struct("query_id", "q", "bound")).alias("queries"))
             .select("list", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("part"))
         )
-        return grouped.join(stored, ["list", "part"]).select("queries", "ids", "vecs", "blocks").mapInArrow(find, "query_id long, vec_id long, score double")
+        return grouped.join(stored, ["list", "part"]).select("queries", "ids", "vecs", "blocks").mapInArrow(with_room(find), "query_id long, vec_id long, score double")
 
     # The nearest lists first: their k-th score bounds what the others need to reach.
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import U64, drop, mix, small_batches, span_hashes
+from patronlens.llm.common import U64, drop, mix, small_batches, span_hashes, with_room
 from patronlens.plans.tables import staged
 
 WORDS = 5
@@ -124,7 +124,7 @@ def document_frequencies(docs: DataFrame, words: int, df_bits: int) -> np.ndarra
         if total:
             yield pa.RecordBatch.from_pydict({"slice": list(total), "body": [x.astype("<i8").tobytes() for x in total.values()]}, schema=pa.schema([("slice", pa.int32()), ("body", pa.binary())]))
 
-    rows = docs.select("text").mapInArrow(count, "slice int, body binary").repartition("slice").mapInArrow(add, "slice int, body binary")
+    rows = docs.select("text").mapInArrow(with_room(count), "slice int, body binary").repartition("slice").mapInArrow(with_room(add), "slice int, body binary")
     out = np.zeros(cells, np.int64)
     for r in rows.collect():  # one row per slice: 2**df_bits numbers
         out[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["body"], "<i8")
@@ -157,7 +157,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*head, *lists, body], names=["block", "n", "chars", "doc_ids", "keys", "texts"])
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
-    return rows.mapInArrow(run, "block string, n long, chars long, doc_ids array<long>, keys array<string>, texts binary")
+    return rows.mapInArrow(with_room(run), "block string, n long, chars long, doc_ids array<long>, keys array<string>, texts binary")
 
 
 def block_shingles(texts: list[str], words: int) -> tuple[list, np.ndarray, np.ndarray]:
@@ -225,8 +225,8 @@ def counted(packed: DataFrame, words: int, slices: int, bits: int = 64) -> DataF
         if held[0]:
             yield total(now, *held)
 
-    sent = packed.select("block", "texts").mapInArrow(send, "slice int, block string, h binary, n binary")
-    return sent.repartition(max(1, slices // 4), "slice").sortWithinPartitions("slice").mapInArrow(add, "block string, slice int, df binary")
+    sent = packed.select("block", "texts").mapInArrow(with_room(send), "slice int, block string, h binary, n binary")
+    return sent.repartition(max(1, slices // 4), "slice").sortWithinPartitions("slice").mapInArrow(with_room(add), "block string, slice int, df binary")
 
 
 def frequencies(body: bytes | None) -> np.ndarray:
@@ -348,7 +348,7 @@ def signed_texts(packed: DataFrame, dfs: DataFrame, sampler) -> DataFrame:
 
     by_block = dfs.groupBy("block").agg(F.collect_list(F.struct("slice", "df")).alias("dfs"))
     rows = packed.join(by_block, "block", "left").select("doc_ids", "keys", "texts", "dfs")
-    return rows.mapInArrow(run, "doc_id long, key string, signature binary, bands array<long>, df binary")
+    return rows.mapInArrow(with_room(run), "doc_id long, key string, signature binary, bands array<long>, df binary")
 
 
 def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -373,7 +373,7 @@ def likely(pairs: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
             keep = pa.array(agreeing(x, y) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a string, b string")
+    return both.select("a", "b", "x", "y").mapInArrow(with_room(run), "a string, b string")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, sampler, threshold: float) -> DataFrame:
@@ -399,7 +399,7 @@ def verified(pairs: DataFrame, texts: DataFrame, sampler, threshold: float) -> D
             keep = pa.array(yes, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a string, b string")
+    return both.mapInArrow(with_room(run), "a string, b string")
 
 
 def block_pairs(members: DataFrame, least: int) -> DataFrame:
@@ -425,7 +425,7 @@ def block_pairs(members: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, schema=pa.schema([("a", pa.string()), ("b", pa.string())]))
 
     left, right = (packed.select("band", F.col("part").alias(p), F.col("rows").alias(r)) for p, r in (("i", "x"), ("j", "y")))
-    return left.join(right, "band").where("i <= j").select("x", "y").mapInArrow(run, "a string, b string").distinct()
+    return left.join(right, "band").where("i <= j").select("x", "y").mapInArrow(with_room(run), "a string, b string").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
