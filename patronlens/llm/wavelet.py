@@ -18,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import numbered, small_batches
+from patronlens.llm.common import numbered, small_batches, with_room
 
 MAGIC = b"WVMX1\0"
 BLOCK = 512
 SHARD_TOKENS = 1 << 19
+JOINED = 2048  # new words encoded as one text
 NO_ID = -(1 << 63)  # a null doc_id
 
 
@@ -150,6 +152,7 @@ def from_file(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
 # A space that another space follows, or the end: only there can a token reach over the space ahead
 # of a word, so all other texts may be encoded word by word, each with the space ahead of it.
 WIDE = re.compile(r" (?:\s|$)")
+LONG = re.compile(r"[^ ]{200}")  # texts with such words are encoded whole and none of them is remembered
 
 
 class Encoder:
@@ -165,6 +168,25 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.levels = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.words, self.known, self.older = words, {}, {}
+        # A piece of a byte-level vocabulary is written with one character a byte.
+        self.piece_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.piece_bytes[i] = len(piece)
+
+    def apart(self, units: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def together(self, units: list[str]) -> list[bytes]:
+        """Ids of units that start with a space, encoded as one text and cut where the bytes of the
+        pieces add up to the bytes of the units; one by one if they do not (a normaliser)."""
+        ids = np.array(self.tokenizer.encode("".join(units), add_special_tokens=False).ids, "<u4")
+        ends = np.cumsum(self.piece_bytes[ids])
+        wanted = np.cumsum([len(u.encode()) for u in units])
+        cuts = np.searchsorted(ends, wanted)
+        if not len(ends) or ends[-1] != wanted[-1] or (ends[cuts] != wanted).any():
+            return self.apart(units)
+        body, stops = ids.tobytes(), ((cuts + 1) * 4).tolist()
+        return [body[a:b] for a, b in pairwise([0, *stops])]
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split: list[list[str] | None] = []
@@ -172,7 +194,7 @@ class Encoder:
         if len(self.known) > self.words:  # words not met again since then are forgotten
             self.known, self.older = {}, self.known
         for t in texts:
-            if WIDE.search(t) or any(s in t for s in self.special):
+            if WIDE.search(t) or any(s in t for s in self.special) or LONG.search(t):
                 split.append(None)
                 continue
             units = t.replace(" ", "\0 ").split("\0") if "\0" not in t else None
@@ -182,10 +204,11 @@ class Encoder:
         older = self.older
         self.known.update({u: older[u] for u in new if u in older})
         fresh = [u for u in new if u not in older]
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for u, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[u] = np.array(e.ids, "<u4").tobytes()
+        spaced = [u for u in fresh if u.startswith(" ")]
+        for at in range(0, len(spaced), JOINED):
+            part = spaced[at : at + JOINED]
+            self.known.update(zip(part, self.together(part), strict=True))
+        self.known.update(zip(firsts := [u for u in fresh if not u.startswith(" ")], self.apart(firsts), strict=True))
         known, last = self.known, np.array([end], "<u4").tobytes()
         out = []
         for t, units in zip(texts, split, strict=True):
@@ -239,7 +262,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2,
         if keys:
             yield flush()
 
-    ordered.mapInArrow(run, SHARDS).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(with_room(run), SHARDS).write.option("compression", "none").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -262,4 +285,4 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     joined = files.join(starts.select("part", "seq", "before_tokens"), ["part", "seq"])
-    return joined.select("before_tokens", "body").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return joined.select("before_tokens", "body").mapInArrow(with_room(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
