@@ -17,8 +17,9 @@ frequencies of a text's shingles are kept beside it for the exact check.
 Within a bucket all texts are compared with one of them, drawn anew in each bucket and round, unless
 the links found so far connect the two already: a group of n near copies costs n comparisons a
 bucket and round, not n * n, and falls into few pieces. What is then left in several pieces is
-compared piece against piece by signature, in blocks; pairs whose signatures do not rule out the
-threshold are verified like the others. No bucket is capped.
+compared piece against piece, in blocks that carry their texts: pairs whose signatures do not rule
+out the threshold are verified in the same task, unless links found there have made their pieces
+one, and each pair in the first bucket it shares only. No bucket is capped.
 
 Equal texts are one text from the start (they share a class without comparison). Null text:
 a class of its own per row. Text without words: equal to equal texts only. A class is a connected
@@ -49,7 +50,8 @@ SLICE_CHARS = 1 << 23
 TABLE_BITS = 14  # variates per sample; a shingle picks its own by hash
 CHUNK = 1 << 20
 PACK = 1 << 22  # characters of a block of texts
-BLOCK = 128
+BLOCK = 4096  # texts of a block of a bucket, and
+BLOCK_CHARS = 1 << 22  # characters
 LEAD_ROUNDS = 4
 SLACK = 0.2  # a signature rules a pair out when it agrees this far below the threshold (almost 4 sigma)
 
@@ -402,30 +404,97 @@ def verified(pairs: DataFrame, texts: DataFrame, sampler, threshold: float) -> D
     return both.mapInArrow(with_room(run), "a string, b string")
 
 
-def block_pairs(members: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of (band, key, root, signature) in one bucket, of different roots, whose
-    signatures agree in ``least`` samples.
+def segments(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of start, start + 1, ... of each segment, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
-    Members are packed in blocks of about BLOCK; a task compares two blocks at a time.
+
+class Block:
+    """Texts of one bucket with what comparing them needs."""
+
+    def __init__(self, rows: pa.Array, sampler: Sampler):
+        self.keys = rows.field("key").to_pylist()
+        self.roots = rows.field("root").to_pylist()
+        self.signatures = signature_matrix(rows.field("signature"))
+        self.bands = rows.field("bands").flatten().to_numpy().reshape(len(rows), -1)
+        df = np.concatenate([frequencies(x) for x in rows.field("df").to_pylist()])
+        owner, self.h, self.weights = sampler.weighted(rows.field("text").to_pylist(), df)
+        self.sizes = np.bincount(owner, minlength=len(rows))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.totals = np.bincount(owner, self.weights, minlength=len(rows))
+
+
+def links_between(x: Block, y: Block, band: int, least: int, threshold: float) -> list[tuple[str, str]]:
+    """Links that join the roots of two blocks of a bucket (or of one with itself) as all their pairs would.
+
+    Left out are pairs whose roots are one by then, that share an earlier bucket (compared there),
+    or whose signatures agree in fewer than ``least`` samples.
+    """
+    _, root = np.unique(np.array(x.roots + (y.roots if y is not x else []), dtype=object), return_inverse=True)
+    shift = 0 if y is x else len(x.keys)
+    shingle, place = np.unique(y.h, return_inverse=True)
+    dense = np.zeros(len(shingle) + 1)
+    found = []
+    for i in range(len(x.keys)):
+        j = np.flatnonzero(root[shift:] != root[i])
+        if y is x:
+            j = j[j > i]
+        j = j[agreeing(y.signatures[j], x.signatures[i]) >= least]
+        first = (x.bands[i] == band).argmax()
+        j = j[(y.bands[j] == x.bands[i]).argmax(axis=1) == first]
+        small, large = np.minimum(y.totals[j], x.totals[i]), np.maximum(y.totals[j], x.totals[i])
+        j = j[small >= threshold * large * (1 - 1e-9)]
+        if not len(j):
+            continue
+        mine = slice(x.starts[i], x.starts[i] + x.sizes[i])
+        at = np.minimum(np.searchsorted(shingle, x.h[mine]), len(shingle) - 1)
+        at = np.where(shingle[at] == x.h[mine], at, len(shingle))
+        dense[at] = x.weights[mine]
+        dense[-1] = 0.0
+        take = 16  # more and more: the first often make the others needless
+        while len(j):
+            some, j = j[:take], j[take:]
+            take *= 2
+            held = segments(y.starts[some], y.sizes[some])
+            ends = np.cumsum(y.sizes[some])
+            both = np.add.reduceat(np.minimum(dense[place[held]], y.weights[held]), ends - y.sizes[some])
+            linked = some[both / (x.totals[i] + y.totals[some] - both) >= threshold]
+            for k in linked:
+                if root[shift + k] != root[i]:
+                    found.append((min(x.keys[i], y.keys[k]), max(x.keys[i], y.keys[k])))
+                    root[root == root[shift + k]] = root[i]
+            if len(linked):
+                j = j[root[shift + j] != root[i]]
+        dense[at] = 0.0
+    return found
+
+
+def block_links(members: DataFrame, texts: DataFrame, sampler, least: int, threshold: float) -> DataFrame:
+    """Verified links (a, b) that connect the roots of each bucket of members (band, key, root) as all
+    its pairs would.
+
+    A bucket is cut into blocks of about BLOCK members or BLOCK_CHARS characters, which carry texts
+    (key, signature, bands, text, df); a task compares two blocks at a time.
     """
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / BLOCK))
-    packed = staged(members.join(sizes, "band").groupBy("band", part.alias("part")).agg(F.collect_list(F.struct("key", "root", "signature")).alias("rows")), "near-blocks")
+    lengths = members.join(texts.select("key", F.length("text").alias("chars")), "key")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS))
+    part = F.pmod(F.xxhash64("key"), F.col("parts"))
+    rows = F.collect_list(F.struct("key", "root", "signature", "bands", "text", "df"))
+    cut = members.join(lengths.groupBy("band").agg(parts.alias("parts")), "band").join(texts, "key")
+    blocks = staged(cut.groupBy("band", "parts", part.alias("part")).agg(rows.alias("rows")), "near-blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):  # not the whole batch: blocks are large
-                x, y = (batch.column(c)[row].values for c in (0, 1))
-                (ka, ra, sx), (kb, rb, sy) = ((v.field("key").to_pylist(), v.field("root").to_pylist(), signature_matrix(v.field("signature"))) for v in (x, y))
-                rb = np.array(rb, dtype=object)
-                pairs = set()
-                for a, root, one in zip(ka, ra, sx, strict=True):
-                    for k in np.flatnonzero((agreeing(sy, one) >= least) & (rb != root)):
-                        pairs.add((min(a, kb[k]), max(a, kb[k])))
-                yield pa.RecordBatch.from_pydict({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, schema=pa.schema([("a", pa.string()), ("b", pa.string())]))
+                x = Block(batch.column(1)[row].values, sampler.value)
+                y = Block(batch.column(2)[row].values, sampler.value) if batch.column(2)[row].is_valid else x
+                found = links_between(x, y, batch.column(0)[row].as_py(), least, threshold)
+                yield pa.RecordBatch.from_pydict({"a": [p[0] for p in found], "b": [p[1] for p in found]}, schema=pa.schema([("a", pa.string()), ("b", pa.string())]))
 
-    left, right = (packed.select("band", F.col("part").alias(p), F.col("rows").alias(r)) for p, r in (("i", "x"), ("j", "y")))
-    return left.join(right, "band").where("i <= j").select("x", "y").mapInArrow(with_room(run), "a string, b string").distinct()
+    ahead = blocks.select("band", F.col("part").alias("i"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("j"), F.col("rows").alias("x"))
+    behind = blocks.where("part > 0").select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("part") - 1)).alias("i"), F.col("part").alias("j"), F.col("rows").alias("y"))
+    return ahead.join(behind, ["band", "i", "j"], "left").select("band", "x", "y").mapInArrow(with_room(run), "a string, b string").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -453,8 +522,8 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """doc_id, text key, class (its smallest key and its smallest doc_id) and links of every row of
-    docs (doc_id, text)."""
+    """doc_id, text key and class (its smallest key and its smallest doc_id) of every row of docs
+    (doc_id, text)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
@@ -469,22 +538,27 @@ def near_duplicates(
     distinct = staged(
         signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("signature").alias("signature"), F.min("bands").alias("bands"), F.min("df").alias("df")), "near-texts"
     )
+    ids = staged(signed.select("doc_id", "key"), "near-ids")
+    drop(signed)
     banded = distinct.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     members = staged(banded.join(shared, "band").select("band", "key"), "near-members")
 
     wanted = members.select("key").distinct()
-    signatures = staged(distinct.join(wanted, "key").select("key", "first_id", "signature", "df"), "near-signatures")
+    candidates = staged(distinct.join(wanted, "key").select("key", "first_id", "signature", "bands", "df"), "near-candidates")
+    heads = staged(distinct.select("key", "first_id"), "near-heads")
+    drop(distinct)
     firsts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("first_id"), text_key().alias("key"), "text")
-    one = signatures.select(F.col("key").alias("k"), F.col("first_id").alias("f"), "df")
+    one = candidates.select(F.col("key").alias("k"), F.col("first_id").alias("f"), "signature", "bands", "df")
     # On both columns: the copies of a common text differ in their ids and spread out.
     first = firsts.join(one, (F.col("key") == F.col("k")) & F.col("first_id").eqNullSafe(F.col("f")))
-    texts = staged(first.select("key", "text", "df").dropDuplicates(["key"]), "near-read")
-    signatures = signatures.select("key", "signature")
+    texts = staged(first.select("key", "text", "signature", "bands", "df").dropDuplicates(["key"]), "near-read")
+    drop(candidates)
 
     least = int(np.ceil((threshold - SLACK) * bands * rows))
     links = spark.createDataFrame([], "a string, b string")
     tried = links
+    roots = links.select(F.col("a").alias("key"), F.col("b").alias("root"))
     rooted = members.withColumn("root", F.col("key"))
     for number in range(LEAD_ROUNDS + 1):
         if number < LEAD_ROUNDS:
@@ -493,29 +567,26 @@ def near_duplicates(
             pairs = rooted.join(leads, "band").where(F.col("root") != F.col("lead.root"))
             pairs = pairs.select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct()
             pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-            fresh = verified(likely(pairs, signatures, least), texts, sampler, threshold)
+            tried = tried.union(pairs)
+            fresh = verified(likely(pairs, texts, least), texts, sampler, threshold)
         else:
             several = rooted.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("n"))
             several = several.where("r <> s and n > 2").select("band")  # the first round has seen the pairs of two
-            pairs = block_pairs(rooted.join(several, "band").join(signatures, "key").select("band", "key", "root", "signature"), least)
-            fresh = verified(staged(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs"), texts, sampler, threshold)
+            fresh = block_links(staged(rooted.join(several, "band"), "near-several"), texts, sampler, least, threshold)
         fresh = staged(fresh, "near-fresh")
-        tried = tried.union(pairs)
         if fresh.isEmpty():
             continue
         links = links.union(fresh)
         roots = components(links)
-        rooted = staged(members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root")), "near-rooted")
+        if number < LEAD_ROUNDS:
+            rooted = staged(members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root")), "near-rooted")
 
-    roots = components(links)
-    ends = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-    nodes = distinct.select("key", "first_id").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    nodes = staged(nodes.join(ends, "key", "left"), "near-nodes")
+    nodes = staged(heads.join(roots, "key", "left").select("key", "first_id", F.coalesce("root", "key").alias("root")), "near-nodes")
     classes = nodes.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    classed = staged(nodes.join(classes, "root").select("key", F.col("root").alias("class_key"), "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links")), "near-classes")
-    found = signed.select("doc_id", "key").join(classed, "key").select("doc_id", "key", "class_key", "class_id", "links")
+    classed = staged(nodes.join(classes, "root").select("key", F.col("root").alias("class_key"), "class_id"), "near-classes")
+    found = ids.join(classed, "key").select("doc_id", "key", "class_key", "class_id")
     empty = docs.where("text is null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("string").alias("key"),
-        F.lit(None).cast("string").alias("class_key"), F.col("doc_id").cast("long").alias("class_id"), F.lit(0).cast("long").alias("links")
+        F.lit(None).cast("string").alias("class_key"), F.col("doc_id").cast("long").alias("class_id")
     )
     return found.union(empty)

@@ -84,7 +84,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classed = neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return classed.select("doc_id", "class_id", "links")
+    return classed.select("doc_id", "class_id")
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -355,6 +355,45 @@ def test_document_frequencies_are_those_of_each_shingle(spark, monkeypatch):
     assert by_cells != pytest.approx(true)  # as it was
 
 
+def test_blocks_link_what_all_pairs_link(spark, monkeypatch):
+    """One bucket of many pieces, in one block and in many: the same classes as all pairs give."""
+    rng = random.Random(23)
+    words = [f"w{i}" for i in range(300)]
+    base = rng.choices(words, k=60)
+    texts = sorted({*drifting(rng, base, 70, 3), *drifting(rng, base[:40] + rng.choices(words, k=20), 30, 1), " ".join(base * 40)})
+    s = neardup.Sampler(np.full(1 << 10, 3, np.int64), 1000, neardup.WORDS, neardup.BANDS, neardup.ROWS)
+    signatures, count = s.sign(texts)
+    df = [zlib.compress(np.full(c, 3, "<u4").tobytes()) for c in count]
+    keys = [f"k{i:03d}" for i in range(len(texts))]
+    # Bands 5 and 9 are shared by all, so every pair belongs to band 5 and band 9 finds nothing.
+    bands = [[1000 * b + (0 if b in (5, 9) else i) for b in range(14)] for i in range(len(texts))]
+    rows = [(k, x.astype("<u4").tobytes(), b, t, d) for k, x, b, t, d in zip(keys, signatures, bands, texts, df, strict=True)]
+    table = spark.createDataFrame(rows, "key string, signature binary, bands array<long>, text string, df binary")
+    roots = {k: keys[i - i % 3] for i, k in enumerate(keys)}
+    members = [(b, k, roots[k]) for b in (5000, 9000) for k in keys]
+    sampler = spark.sparkContext.broadcast(s)
+    bags = [s.weighted([t])[1:] for t in texts]
+    near = {(a, b) for i, a in enumerate(keys) for j, b in enumerate(keys) if i < j and s.similarity(bags[i], bags[j]) >= neardup.THRESHOLD}
+    assert len(near) > 30
+
+    def classes(links):
+        of = dict(roots)
+        for a, b in links:
+            x, y = of[a], of[b]
+            of = {k: min(x, y) if v in (x, y) else v for k, v in of.items()}
+        return of
+
+    for block, chars in ((4096, 1 << 22), (7, 1 << 22), (4096, 3000)):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        monkeypatch.setattr(neardup, "BLOCK_CHARS", chars)
+        found = neardup.block_links(spark.createDataFrame(members, "band long, key string, root string"), table, sampler, 0, neardup.THRESHOLD)
+        found = [(r.a, r.b) for r in found.collect()]
+        assert set(found) <= near
+        assert classes(found) == classes(sorted(near))
+        if block == 4096 and chars > 3000:
+            assert len(found) < len(set(roots.values()))  # no link between what is one already
+
+
 def test_no_documents_and_no_ids(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     text = "one two three four five six"
