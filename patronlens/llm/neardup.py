@@ -52,7 +52,7 @@ CHUNK = 1 << 20
 PACK = 1 << 22  # characters of a block of texts
 BLOCK = 4096  # texts of a block of a bucket, and
 BLOCK_CHARS = 1 << 22  # characters
-LEAD_ROUNDS = 4
+LEAD_ROUNDS = 2
 SLACK = 0.2  # a signature rules a pair out when it agrees this far below the threshold (almost 4 sigma)
 
 
@@ -519,6 +519,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("key", "root")
 
 
+def grown(roots: DataFrame, fresh: DataFrame) -> DataFrame:
+    """roots (key, root) with the links ``fresh`` (a, b) added: only the roots they join are worked out anew."""
+    of_a, of_b = (roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+    between = fresh.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    over = components(between.where("a <> b")).select(F.col("key").alias("root"), F.col("root").alias("over"))
+    ends = fresh.select(F.col("a").alias("key")).union(fresh.select("b")).distinct().join(roots, "key", "left_anti")
+    every = roots.select("key", "root").union(ends.select("key", F.col("key").alias("root")))
+    return staged(every.join(over, "root", "left").select("key", F.coalesce("over", "root").alias("root")), "near-grown")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -556,9 +566,8 @@ def near_duplicates(
     drop(candidates)
 
     least = int(np.ceil((threshold - SLACK) * bands * rows))
-    links = spark.createDataFrame([], "a string, b string")
-    tried = links
-    roots = links.select(F.col("a").alias("key"), F.col("b").alias("root"))
+    tried = spark.createDataFrame([], "a string, b string")
+    roots = spark.createDataFrame([], "key string, root string")
     rooted = members.withColumn("root", F.col("key"))
     for number in range(LEAD_ROUNDS + 1):
         if number < LEAD_ROUNDS:
@@ -576,8 +585,7 @@ def near_duplicates(
         fresh = staged(fresh, "near-fresh")
         if fresh.isEmpty():
             continue
-        links = links.union(fresh)
-        roots = components(links)
+        roots = grown(roots, fresh)
         if number < LEAD_ROUNDS:
             rooted = staged(members.join(roots, "key", "left").select("band", "key", F.coalesce("root", "key").alias("root")), "near-rooted")
 
