@@ -10,6 +10,9 @@ a seeded hash order up to the one whose middle passes the fraction: the words ta
 document of the target. That choice is kept as one limit per source (the last hash taken), so it
 is applied to the documents without a join on them.
 
+A source whose whole repetitions meet its target gets no fraction, so no row, not even one without
+words, is taken more than ``max_epochs`` times.
+
 Null text: size 0. Null source: one source, last in order. No words at all: targets 0. Rows that
 agree in doc_id and text are taken alike.
 """
@@ -74,7 +77,7 @@ def plan_mix(rows: DataFrame, weights: list[float], share: float, max_epochs: fl
     )
     drawn = numbered(rows, "_source", ["_draw", "_size"], ["_size"], "mix-drawn")
     last = (
-        drawn.join(plan, "_source").where(F.col("before__size") + F.col("_size") / 2 <= F.col("_rest"))
+        drawn.join(plan.where("_rest > 0"), "_source").where(F.col("before__size") + F.col("_size") / 2 <= F.col("_rest"))
         .groupBy("_source").agg(F.max("_draw").alias("_last"))
     )
     return staged(plan.drop("_rest").join(last, "_source", "left"), "mix-limits")

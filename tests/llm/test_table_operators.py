@@ -296,3 +296,14 @@ def test_one_document_of_each_class_stays(spark):
     classes = neardup.near_duplicates(docs)
     kept = corpus_pipeline.near_duplicates(spark, docs, SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.class_id for r in classes.select("class_id").distinct().collect())
+
+
+def test_no_row_of_a_clamped_source_is_taken_more_often_than_allowed(spark):
+    """Rows without words, drawn first or not, repeat no more than the others of their source."""
+    rows = [(i, "", "small") for i in range(40)] + [(40, "a b c", "small"), (41, None, "small")]
+    rows += [(100 + i, "w " * 50, "large") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs, weights=[1, 1], share=1.5, max_epochs=2.0, carry=["doc_id", "source"]).collect()
+    assert len(mixed) == len(rows)
+    assert {r._repetitions for r in mixed if r.source == "small"} == {2}
+    assert max(r._repetitions for r in mixed) <= 2
