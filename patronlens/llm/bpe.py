@@ -8,8 +8,12 @@ are joined to the places of the words there. Decoding joins ids to pieces: the t
 bounded by the vocabulary and goes to every task.
 
 A word is one row per block, not per occurrence: frequent words are no hot keys, and what is
-shuffled is a small part of the text. Memory is bounded by the block (``block_chars``, or one
-longer text) and by the distinct words of one bucket.
+shuffled is a small part of the text. Buckets, and the tasks that put blocks together, grow with
+the stored bytes of the input (``bucket_bytes`` each), so a task's share does not. Memory is bounded
+by the block (``block_chars``, or one longer text) and by the distinct words of one bucket.
+
+Only tokenizers that this division suits are taken: tokens end at white space, and decoding puts a
+space between tokens. Others are refused.
 
 Null and empty texts: no ids, empty decoded text. Rows with equal or null ids are kept apart.
 """
@@ -30,6 +34,9 @@ from pyspark.sql import functions as F
 from patronlens.llm.common import small_batches
 
 BLOCK_CHARS = 16_000_000
+BUCKET_BYTES = 16 << 20  # stored bytes of the input per bucket of words
+UNKNOWN_BYTES = 1 << 60  # statistics from here on stand for a size that is not known
+MOST_BUCKETS = 1 << 15  # bucket numbers take two bytes
 # What the tokenizer's pattern takes as white space; str.split() knows four more.
 MORE = re.compile(r"[\x1c-\x1f]")
 ONLY = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -186,6 +193,32 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def check_suited(path: str) -> None:
+    """Raise ValueError for a tokenizer whose words cannot be encoded apart, tried with every white
+    space, or whose ids do not decode to their tokens with a space between."""
+    tokenizer = load_tokenizer(path)
+    words = ["Ab", "c1's", "d,", "e\u0301", "-f"]
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    apart = [i for w in words for i in ids(w)]
+    spaces = [chr(c) for c in range(0x3001) if ONLY.match(chr(c))]
+    if any(ids(between.join(words)) != apart for s in spaces for between in (s, s * 2)):
+        raise ValueError(f"{path}: tokens reach over white space or depend on it")
+    if tokenizer.decode(apart, skip_special_tokens=False) != " ".join(map(tokenizer.id_to_token, apart)):
+        raise ValueError(f"{path}: ids decode to something else than their tokens and spaces")
+
+
+def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for the bytes of ``docs`` as Spark's statistics state them, at least the session's
+    shuffle partitions; these alone for rows that come from no files, whose size Spark does not know."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    needed = -(-size // bucket_bytes) if size < UNKNOWN_BYTES else 0
+    return min(max(least, needed), MOST_BUCKETS)
+
+
 def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 500_000) -> DataFrame:
     """doc_id, ids and decoded text from the rows of each block, its own row last."""
 
@@ -242,14 +275,15 @@ def texts_of(data: bytes, counts, keys: list, parts: list, piece: np.ndarray, em
         first = last
 
 
-def encode_decode(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer_path: str, block_chars: int = BLOCK_CHARS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, ids and decoded text of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    buckets = min(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), 1 << 15)
+    check_suited(tokenizer_path)
+    buckets = bucket_count(docs, bucket_bytes)
     blocks = to_blocks(docs, buckets, block_chars)
     place = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int"))
     words = blocks.withColumn("_place", place).repartition(buckets, "_place").drop("_place").sortWithinPartitions("bucket", "block")
     rows = encode_words(words, tokenizer_path)
     last = F.when(F.col("bucket") < 0, F.lit(1)).otherwise(0)
-    return assemble(rows.repartition("block").sortWithinPartitions("block", last, "bucket"), tokenizer_path)
+    return assemble(rows.repartition(buckets, "block").sortWithinPartitions("block", last, "bucket"), tokenizer_path)

@@ -11,8 +11,11 @@ computed once; scoring looks up each byte of the whole text in that table. Bytes
 languages take the escape path.
 
 The trees are fitted on a bounded sample: about ``fit_rows`` labelled rows a language (whole
-texts), drawn by a hash of the id. Null text or text without a letter: ``und``, score 0. Ties: the
-first language by code point. No labelled rows: ``und`` for all.
+texts), drawn by a hash of the id. A text's excess is its code length per byte over that of the
+sample of its language: near 1 for its like, several times as much for what no language explains.
+Null text or text without a letter: ``und``, score 0. Ties: the
+first language by code point. No labelled rows, or an empty table of them: ``und`` for all. Repeated
+rows are scored alike, and each is counted if the sample holds it.
 """
 
 from __future__ import annotations
@@ -105,8 +108,11 @@ class Trees:
         self.by_order = by_order
         self.bits = by_order[3][1].astype(np.float32)
         weight = np.zeros(len(self.grams))
-        for gram, n in counts:
-            weight[np.searchsorted(self.grams, gram)] += n
+        self.usual = np.ones(k)  # bits per byte of the texts learned from
+        for j, (gram, n) in enumerate(counts):
+            at = np.searchsorted(self.grams, gram)
+            weight[at] += n
+            self.usual[j] = max((n * by_order[3][1][at, j]).sum() / n.sum(), 1e-3)
         self.slot = np.full(1 << SLOT_BITS, -1, np.int32)
         common_last = np.argsort(weight, kind="stable")
         self.slot[self._hash(self.grams[common_last])] = common_last
@@ -173,13 +179,16 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Trees:
     return Trees(langs, by_lang)
 
 
-def predict(docs: DataFrame, trees: Trees, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(docs: DataFrame, trees: Trees, keep: list[str], names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """Columns ``keep`` of docs with the language and its score: the share of the winner if each
-    language had the odds of its code length. ``names`` are those of the two new columns."""
+    language had the odds of its code length. ``names`` are those of the new columns; with a third
+    there is also the text's excess (null if undetermined)."""
     langs = trees.langs
     if not langs:
-        return docs.select(*keep, F.lit(UNDETERMINED).alias(names[0]), F.lit(0.0).alias(names[1]))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+        added = [F.lit(UNDETERMINED), F.lit(0.0), F.lit(None).cast("double")]
+        return docs.select(*keep, *(c.alias(n) for c, n in zip(added, names, strict=False)))
+    types = zip(names, (T.StringType(), T.DoubleType(), T.DoubleType()), strict=False)
+    schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(*x) for x in types)])
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     read = keep if "text" in keep else [*keep, "text"]
@@ -196,6 +205,10 @@ def predict(docs: DataFrame, trees: Trees, keep: list[str], names: tuple[str, st
                 some = batch.column(len(read)).to_numpy(zero_copy_only=False)
                 lang = np.where(some, languages[bits.argmin(axis=1)], UNDETERMINED)
                 score = np.where(some, 1.0 / odds.sum(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score)], names=schema.names)
+                size = np.maximum(batch.column(len(read) + 1).to_numpy(zero_copy_only=False), 1)
+                excess = bits.min(axis=1) / size / model.usual[bits.argmin(axis=1)]
+                added = [pa.array(lang, pa.string()), pa.array(score), pa.array(excess, mask=~some)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *added[: len(names)]], names=schema.names)
 
-    return docs.select(*read, letters.alias("_letters")).mapInArrow(run, schema)
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    return docs.select(*read, letters.alias("_letters"), size.alias("_bytes")).mapInArrow(run, schema)

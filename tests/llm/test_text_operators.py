@@ -130,6 +130,21 @@ def test_undetermined_and_clashing_columns(spark, odd):
     assert {r.lang_pred for r in langid.predict(odd, none, ["doc_id"]).collect()} == {"und"}
 
 
+def test_excess_tells_junk_from_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    trees = langid.fit(docs)
+    known = trees.score(docs.where("lang = 'en'").select("text").toArrow().column(0).combine_chunks())
+    size = docs.where("lang = 'en'").agg(F.sum(F.octet_length("text"))).first()[0]
+    assert known[:, trees.langs.index("en")].sum() / size == pytest.approx(trees.usual[trees.langs.index("en")], rel=1e-4)
+    rng = random.Random(4)
+    junk = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.choice([30, 3000]))), None) for i in range(20)]
+    names = ("_l", "_s", "_x")
+    assert langid.predict(docs, trees, ["doc_id"], names).where("_x > 4").count() == 0
+    assert langid.predict(spark.createDataFrame([*junk, (90, None, None), (91, "1 2", None)], docs.schema), trees, ["doc_id"], names).where("_x < 5").count() == 0
+    none = langid.predict(docs, langid.fit(docs.limit(0)), ["doc_id"], names).select(*names).distinct().collect()
+    assert [tuple(r) for r in none] == [("und", 0.0, None)]
+
+
 def test_languages_of_held_out_documents(spark):
     got = queries.op4_language(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -187,6 +202,23 @@ def test_bpe_as_the_library(odd, block_chars):
     assert bpe.encode_decode(odd.limit(0), path).count() == 0
 
 
+def test_only_tokenizers_whose_words_stand_alone(odd):
+    bpe.check_suited(queries.tokenizer_path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="white space"):
+        bpe.encode_decode(odd, queries.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_buckets_grow_with_the_input(spark, odd):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    least = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = bpe.bucket_count(docs, bucket_bytes=1000) * 1000
+    assert bpe.bucket_count(docs) == least == bpe.bucket_count(odd) and size > 100_000
+    assert bpe.bucket_count(docs, bucket_bytes=1) <= bpe.MOST_BUCKETS
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    found = [sorted((r.doc_id, tuple(r.ids), r.decoded) for r in bpe.encode_decode(docs, path, bucket_bytes=b).collect()) for b in (size, size // 40)]
+    assert bpe.bucket_count(docs, size // 40) >= 40 and found[0] == found[1] and len(found[0]) == docs.count()
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
