@@ -2,7 +2,7 @@
 
 Each stage works on all rows the one before it kept and returns the columns of documents (the last
 one token ids), written as Parquet and read again. Rows go for these reasons only: no language can
-be told, the text is toxic, another text of its class stays, or the mix does not take it. Rows that
+be told or explains the text, the text is toxic, another text of its class stays, or the mix does not take it. Rows that
 the mix takes twice come twice.
 
 Nulls: a null text has no language and goes; null languages are not learned from; null sources are
@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 
 from patronlens.llm import bpe, langid, mixing, neardup, toxicity
 from patronlens.llm.queries import tokenizer_path
-from patronlens.plans.tables import table_path
+from patronlens.plans.tables import staged
 
 CERTAIN = 0.5  # a language below this share of the odds is not certain
+# Code length per byte, over that of the language's learned texts, above which no language explains a
+# text: documents stay below 3.4 (short ones around a long key), letters drawn at random are above 6.
+EXPLAINED = 5.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trees = langid.fit(docs.select("doc_id", "text", "lang"))
-    told = langid.predict(docs, trees, docs.columns, names=("_lang_pred", "_lang_score"))
-    sure = (F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_lang_score") >= CERTAIN)
+    told = langid.predict(docs, trees, docs.columns, names=("_lang_pred", "_lang_score", "_excess"))
+    sure = (F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_lang_score") >= CERTAIN) & (F.col("_excess") <= EXPLAINED)
     return told.where(sure).select(*docs.columns)
 
 
@@ -68,7 +71,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = table_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
