@@ -187,6 +187,39 @@ def test_shards_round_trip(odd, tmp_path):
     assert wavelet.read_shards(odd.sparkSession, str(tmp_path / "none")).count() == 0
 
 
+def test_parts_as_the_library_cuts_them():
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    encoder, kinds = wavelet.Encoder(path, parts=500), wavelet.kinds()
+    rng = np.random.default_rng(1)
+    sure = [chr(c) for c in np.flatnonzero(kinds != wavelet.UNSURE)]
+    texts = [f"{a}{c}{b}" for c in sure for a, b in (("x", " 1"), (" ", "'s"))]
+    texts += ["".join(rng.choice(list(alphabet), n)) for alphabet in ("a 's\ntvrel1-", "b \t\r\x1c\xa0\u3000\u0301é²日😀") for n in rng.integers(0, 15, 3000)]
+    texts += ODD[1:] + ["y" * 700 + " z" * 700, "x'", "'re", "a 'll", "b''ve"]
+    given = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.plain
+    for at in range(0, len(texts), 5000):
+        for t, ids, wanted in zip(texts[at : at + 5000], encoder.encode(texts[at : at + 5000], 2), given[at : at + 5000]):
+            assert ids.tolist() == [*wanted, 2], t
+    assert len(encoder.known) + len(encoder.older) < 30_000 and max(map(len, encoder.known)) <= wavelet.LONG
+
+
+def test_few_parts_reach_the_library():
+    texts = [f"{a}{b}. {b}, {a}!\n" for a in ("alpha", "beta", "gamma", "delta") for b in ("one", "two", "three", "four")] * 50
+    encoder, given = wavelet.Encoder(queries.tokenizer_path("byte_bpe_50k.json")), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, some, **options):
+            given.extend(some)
+            return self.inner.encode_batch_fast(some, **options)
+
+    encoder.apart, encoder.tokenizer = Counted(encoder.apart), None  # no text goes whole
+    encoder.encode(texts, 2)
+    assert 0 < sum(map(len, given)) < 400
+
+
 # --- BPE -------------------------------------------------------------------------------------------
 
 
