@@ -18,6 +18,7 @@ from patronlens.llm import bpe, langid, mixing, neardup, toxicity
 from patronlens.llm.queries import tokenizer_path
 from patronlens.plans.tables import staged
 
+BPE_BLOCK = 8_000_000  # characters; half of op8_bpe's: the last stage runs in executors that four others have filled
 CERTAIN = 0.5  # a language below this share of the odds is not certain
 # Code length per byte, over that of the language's learned texts, above which no language explains a
 # text: documents stay below 3.4 (short ones around a long key), letters drawn at random are above 6.
@@ -55,7 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = bpe.encode_decode(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+    done = bpe.encode_decode(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"), block_chars=BPE_BLOCK)
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -10,7 +10,9 @@ bounded by the vocabulary and goes to every task.
 A word is one row per block, not per occurrence: frequent words are no hot keys, and what is
 shuffled is a small part of the text. Buckets, and the tasks that put blocks together, grow with
 the stored bytes of the input (``bucket_bytes`` each), so a task's share does not. Memory is bounded
-by the block (``block_chars``, or one longer text) and by the distinct words of one bucket.
+by the block (``block_chars``, or one longer text) and by the distinct words of one bucket; a worker
+reads the tokenizer's file, which takes three times the tokenizer's memory for a moment, once and not
+for each task, and tasks that only join pieces do not read it.
 
 Only tokenizers that this division suits are taken: tokens end at white space, and decoding puts a
 space between tokens. Others are refused.
@@ -24,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import small_batches
+from patronlens.llm.common import give_back, small_batches
 
 BLOCK_CHARS = 16_000_000
 BUCKET_BYTES = 16 << 20  # stored bytes of the input per bucket of words
@@ -115,7 +118,10 @@ def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             seq = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+            counts = [len(numbers), *map(len, texts)]
             words = list(numbers)
+            texts.clear()  # not held beside what is made of them
+            numbers.clear()
             frequent = np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")  # short numbers for them
             rank = np.empty(len(words), np.int32)
             rank[frequent] = np.arange(len(words), dtype=np.int32)
@@ -133,7 +139,7 @@ def to_blocks(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
                 mine = order[cuts[n] : cuts[n + 1]]
                 if len(mine):
                     add(n, pack("\n".join([words[i] for i in mine]).encode()), [], [])
-            add(-1, pack_numbers(rank[seq]) + pack(planes(bucket, 2)), [len(words), *map(len, texts)], ids)
+            add(-1, pack_numbers(rank[seq]) + pack(planes(bucket, 2)), counts, ids)
             return pa.RecordBatch.from_pydict(out, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary()), ("counts", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64()))]))
 
         for batch in batches:
@@ -158,7 +164,7 @@ def encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
     The blocks' own rows pass unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(tokenizer_path)
+        tokenizer = worker_tokenizer(tokenizer_path)
         known: dict[str, np.ndarray] = {}
         now = None
         for batch in batches:
@@ -193,6 +199,14 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+@cache
+def worker_tokenizer(path: str):
+    """The tokenizer of a Python worker, for all its tasks."""
+    tokenizer = load_tokenizer(path)
+    give_back()
+    return tokenizer
+
+
 def check_suited(path: str) -> None:
     """Raise ValueError for a tokenizer whose words cannot be encoded apart, tried with every white
     space, or whose ids do not decode to their tokens with a space between."""
@@ -221,10 +235,11 @@ def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
 
 def assemble(rows: DataFrame, tokenizer_path: str, emit_chars: int = 500_000) -> DataFrame:
     """doc_id, ids and decoded text from the rows of each block, its own row last."""
+    tokenizer = load_tokenizer(tokenizer_path)
+    shared = rows.sparkSession.sparkContext.broadcast([tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(tokenizer_path)
-        piece = np.array([tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())], dtype=object)
+        piece = np.array(shared.value, dtype=object)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for row in range(batch.num_rows):

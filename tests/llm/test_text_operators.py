@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import os
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -235,6 +237,35 @@ def test_bpe_as_the_library(odd, block_chars):
     assert bpe.encode_decode(odd.limit(0), path).count() == 0
 
 
+def test_a_worker_reads_the_tokenizer_once(odd, tmp_path, monkeypatch):
+    path, read = queries.tokenizer_path("word_bpe_49k.json"), tmp_path / "read"
+    read.mkdir()
+    plain = bpe.load_tokenizer
+
+    def noted(path):
+        (read / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return plain(path)
+
+    def run(batches):  # the module's tasks, in a worker: three times what one task reads
+        bpe.load_tokenizer = noted
+        bpe.worker_tokenizer.cache_clear()
+        made = []
+
+        class Rows:
+            def mapInArrow(self, f, schema):
+                made.append(f)
+
+        bpe.encode_words(Rows(), path)
+        for _ in range(3):
+            assert list(made[0](iter([]))) == []
+        bpe.load_tokenizer = plain
+        yield from batches
+
+    odd.select("doc_id").coalesce(1).mapInArrow(run, "doc_id long").count()
+    files = list(read.iterdir())
+    assert len(files) == 1 and not files[0].name.startswith(f"{os.getpid()}-")
+
+
 def test_only_tokenizers_whose_words_stand_alone(odd):
     bpe.check_suited(queries.tokenizer_path("word_bpe_49k.json"))
     with pytest.raises(ValueError, match="white space"):
