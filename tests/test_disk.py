@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from patronlens import FeatureConfig
 from patronlens.operators import blocks, fan_out
 from patronlens.operators.labelled import with_day
@@ -94,3 +95,11 @@ def test_the_wide_table_is_not_shuffled_for_its_repeats(three, conf):
     assert f"> {features.FEW}" in plan and "Join" not in plan
     weights = full_features(*three, repeats="weight")
     assert rows_of(table) == rows_of(fan_out(weights, "weight"))
+
+
+def test_normalized_rows_are_not_shuffled(spark):
+    """Their values are as many bytes as they look like: they are made after any shuffle."""
+    table = queries.normalized_features(spark, "/root/testdata/sf0.001")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    before = plan[: plan.index("Exchange")]
+    assert len(re.findall(r"\bExchange\b", plan)) == 1 and "UDF(" in before and "UDF(" not in plan[plan.index("Exchange") :].split("FileScan")[0]
