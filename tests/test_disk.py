@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from patronlens import FeatureConfig
+from patronlens.config import PAIR_KEY
 from patronlens.operators import blocks, fan_out
 from patronlens.operators.labelled import with_day
-from patronlens.plans import features, full_features
+from patronlens.operators.split import pair_hash
+from patronlens.plans import features, full_features, training
 from patronlens.plans.tables import CLEANUP, freed_shuffles, settled, staged
 
 
@@ -103,3 +105,16 @@ def test_normalized_rows_are_not_shuffled(spark):
     plan = table._jdf.queryExecution().executedPlan().toString()
     before = plan[: plan.index("Exchange")]
     assert len(re.findall(r"\bExchange\b", plan)) == 1 and "UDF(" in before and "UDF(" not in plan[plan.index("Exchange") :].split("FileScan")[0]
+
+
+def test_model_rows_leave_no_shuffle_files(spark):
+    """What cross-validation starts from: label pairs, log, users, sellers and pairs are all joined by then."""
+    before = shuffle_files(spark)
+    rows = queries._model_rows(spark, "/root/testdata/sf0.001")
+    assert not shuffle_files(spark) - before
+    pairs = rows.select(*PAIR_KEY).distinct().count()
+    before = shuffle_files(spark)
+    few = training.bounded(rows, 200)
+    assert not shuffle_files(spark) - before
+    chosen = rows.filter(pair_hash(training.SPLIT_SEED + 2) % 1_000_000 < 200 / pairs * 1_000_000)
+    assert few.count() > 100 and rows_of(few) == rows_of(chosen)
