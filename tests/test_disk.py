@@ -118,3 +118,24 @@ def test_model_rows_leave_no_shuffle_files(spark):
     assert not shuffle_files(spark) - before
     chosen = rows.filter(pair_hash(training.SPLIT_SEED + 2) % 1_000_000 < 200 / pairs * 1_000_000)
     assert few.count() > 100 and rows_of(few) == rows_of(chosen)
+
+
+def test_several_models_score_in_one_pass(spark, monkeypatch):
+    """Each row is read and assembled once; scores are those of the models by themselves."""
+    for name, grid in {"lr": {"maxIter": [3]}, "dt": {"maxDepth": [3]}, "rf": {"numTrees": [4], "maxDepth": [3]}, "gbt": {"maxIter": [2], "maxDepth": [2]}}.items():
+        monkeypatch.setitem(training.GRIDS, name, grid)
+    rows = queries._model_rows(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries, "_model_rows", lambda spark, sf_dir: rows)
+    every = queries.score_pairs(spark, "/root/testdata/sf0.001")
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    light = plan[: plan.index("Exchange")]
+    assert len(re.findall("FileScan", plan)) == 2 and len(re.findall(r"\bExchange\b", plan)) == 1 and "UDF(" in light
+    fit = rows.filter("split = 'train'")
+    for name in training.CLASSIFIERS:
+        model = training.train(fit, name, weight="weight", max_fit_pairs=queries.FIT_PAIRS)
+        alone = fan_out(training.score(model, rows, [*PAIR_KEY, "weight"]), "weight")
+        columns = [*(F.col(k).cast("long").alias(k) for k in PAIR_KEY), "prediction", "probability"]
+        assert rows_of(every.filter(F.col("model") == name).drop("model")) == rows_of(alone.select(*columns))
+    other = training.train(fit, "dt", columns=["ttl_c"], weight="weight", keep=False)
+    with pytest.raises(ValueError, match="same columns"):
+        training.score_each({"dt": other, "lr": training.train(fit, "lr", weight="weight", max_fit_pairs=queries.FIT_PAIRS)}, rows)
